@@ -1,0 +1,60 @@
+"""Duplicates hidden by formatting differences."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cratework.functions.text import letters_and_digits
+from cratework.operators.skew import salted_join
+
+
+def canonical_set(c: Column) -> Column:
+    """Canonical text of a list of texts: letters and digits in lower case, empty ones dropped, a sorted set.
+
+    A null list is an empty one. Elements are joined by a blank, which no canonical element can hold.
+    """
+    kept = F.filter(F.transform(c, letters_and_digits), lambda x: x.isNotNull() & (x != ""))
+    return F.coalesce(F.array_join(F.array_sort(F.array_distinct(kept)), " "), F.lit(""))
+
+
+def raw_digest(fields: Sequence[Column]) -> Column:
+    """SHA-256 of the byte-exact content of the fields (lists of texts); nulls, blanks and order all count."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[c.alias(f"f{i}") for i, c in enumerate(fields)])), 256))
+
+
+def collapse(df: DataFrame, fields: dict[str, Column], record: str) -> tuple[DataFrame, DataFrame]:
+    """Collapse records that are the same but for formatting.
+
+    Returns (survivors, raw_groups). Survivors have one row for each canonical text: the canonical text of each
+    field, ``first_record`` (the smallest record value) and ``copies``. Raw groups map ``raw_key`` to the
+    canonical texts, with the copies that are byte-identical. Byte-identical rows are collapsed first, with
+    counts, combined map-side; only distinct survivors are canonicalised and grouped again on the full canonical
+    text, the counts being summed. Records without anything left in any field are no cases and are dropped. A
+    null ``record`` counts as a copy but is never first. Empty input gives empty results.
+    """
+    raw = df.select(F.col(record).alias("__record"), raw_digest(list(fields.values())).alias("raw_key"), *[c.alias(n) for n, c in fields.items()])
+    raw_groups = (
+        raw.groupBy("raw_key")
+        .agg(F.min("__record").alias("__first"), F.count(F.lit(1)).alias("__copies"), *[F.first(n).alias(n) for n in fields])
+        .select("raw_key", "__first", "__copies", *[canonical_set(F.col(n)).alias(n) for n in fields])
+        .filter(F.concat(*[F.col(n) for n in fields]) != "")
+    )
+    survivors = raw_groups.groupBy(*fields).agg(F.min("__first").alias("first_record"), F.sum("__copies").alias("copies"))
+    return survivors, raw_groups
+
+
+def copies_of(df: DataFrame, fields: dict[str, Column], record: str) -> DataFrame:
+    """first_record, copy_record: one row for each record that isn't the smallest of its group.
+
+    The survivors' first records go back to the raw groups (joined on the full canonical text, unique on both
+    sides of a group but for raw spellings) and from there, by the digest of the raw bytes with hot digests
+    salted, to the records. No pairs within a group are formed.
+    """
+    survivors, raw_groups = collapse(df, fields, record)
+    named = salted_join(raw_groups.select("raw_key", *fields), survivors, list(fields), "inner").select("raw_key", "first_record")
+    records = df.select(F.col(record).alias("copy_record"), raw_digest(list(fields.values())).alias("raw_key"))
+    joined = salted_join(records, named, ["raw_key"], "inner")
+    return joined.filter(F.col("copy_record") > F.col("first_record")).select("first_record", "copy_record")
