@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cratework.operators.skew import running_sums
 from cratework.session import settle
 
-PEEL_ROUNDS = 4
+MERGE_LEVELS = 8
 
 
 def clean_edges(links: DataFrame, parent: str, child: str) -> DataFrame:
@@ -38,12 +38,14 @@ def spanning_trees(edges: DataFrame) -> DataFrame:
     roots = edges.select(F.col("__p").alias("node")).distinct().join(edges.select(F.col("__c").alias("node")).distinct(), "node", "left_anti")
     kind = edges.schema["__p"].dataType
     level = settle(roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"), F.lit(None).cast(kind).alias("parent")))
-    levels = []
+    done: list[DataFrame] = []
     depth = 0
     while not level.isEmpty():
-        levels.append(level)
+        done.append(level)
+        if len(done) > MERGE_LEVELS:
+            done = [settle(reduce(DataFrame.unionAll, done))]
         depth += 1
-        seen = reduce(DataFrame.unionAll, [x.select("root", "node") for x in levels])
+        seen = reduce(DataFrame.unionAll, done).select("root", "node")
         step = (
             level.join(edges, level["node"] == edges["__p"])
             .groupBy("root", F.col("__c").alias("node"))
@@ -51,7 +53,7 @@ def spanning_trees(edges: DataFrame) -> DataFrame:
             .join(seen, ["root", "node"], "left_anti")
         )
         level = settle(step.select("root", "node", F.lit(depth).alias("depth"), "parent"))
-    return reduce(DataFrame.unionAll, levels or [level])
+    return reduce(DataFrame.unionAll, done or [level])
 
 
 def nested_sets(trees: DataFrame) -> DataFrame:
@@ -112,17 +114,21 @@ def paths(trees: DataFrame) -> DataFrame:
 def unprocessed(edges: DataFrame) -> DataFrame:
     """The links left when nodes without incoming or without outgoing links are peeled off again and again.
 
-    All cycles are in what is left (with the ways from one cycle to another); acyclic links leave nothing. Several
-    rounds go into one pass.
+    All cycles are in what is left (with the ways from one cycle to another); acyclic links leave nothing. Each
+    round takes one aggregation of the nodes and peels from above and below at once.
     """
     left = settle(edges)
     n = left.count()
     while n:
-        rest = left
-        for _ in range(PEEL_ROUNDS):
-            rest = rest.join(rest.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi")
-            rest = rest.join(rest.select(F.col("parent").alias("child")).distinct(), "child", "left_semi").select("parent", "child")
-        left = settle(rest)
+        ends = left.select(F.col("parent").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionAll(
+            left.select(F.col("child").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        inner = ends.groupBy("node").agg(F.max("out").alias("out"), F.max("into").alias("into")).filter("out = 1 and into = 1").select("node")
+        left = settle(
+            left.join(inner.select(F.col("node").alias("parent")), "parent", "left_semi")
+            .join(inner.select(F.col("node").alias("child")), "child", "left_semi")
+            .select("parent", "child")
+        )
         m = left.count()
         if m == n:
             break
@@ -158,6 +164,8 @@ def cycle_classes(edges: DataFrame) -> DataFrame:
         wave = settle(colour.filter("node = colour").select("node", "colour"))
         waves = [wave]
         while True:
+            if len(waves) > MERGE_LEVELS:
+                waves = [settle(reduce(DataFrame.unionAll, waves))]
             seen = reduce(DataFrame.unionAll, waves)
             wave = settle(
                 inside.join(wave.select(F.col("node").alias("child"), "colour"), ["child", "colour"])
