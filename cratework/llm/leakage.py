@@ -150,14 +150,14 @@ def leaks(
     ``longest_run`` is the longest stretch of equal consecutive words, ``distance`` the least number of edited
     words of a passage (0: word for word), ``item_words`` how many of the item's words lie in matched passages.
     Null texts and items of fewer than ``min_words`` words match nothing; repeated document rows give repeated
-    results; repeated items count once.
+    results; repeated items count once. Where both key columns have one name, the item's comes out as ``item_<name>``.
     """
     doc_type, item_type = documents.schema[doc].dataType, items.schema[item].dataType
     wanted = items.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     schema = T.StructType([
-        T.StructField(doc, doc_type), T.StructField(item, item_type), T.StructField("longest_run", T.IntegerType()),
+        T.StructField(doc, doc_type), T.StructField(item if item != doc else f"item_{item}", item_type), T.StructField("longest_run", T.IntegerType()),
         T.StructField("distance", T.IntegerType()), T.StructField("item_words", T.IntegerType()),
     ])
     corpus = documents.select(F.col(doc), F.col(text)).filter(F.col(text).isNotNull())
