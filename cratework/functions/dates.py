@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cratework.functions.text import let
+
 _THREE_PARTS = r"^([0-9]+)[-_. ]([0-9]+)[-_. ]([0-9]+)\z"
 
 
@@ -26,13 +28,26 @@ def parse_partial_date(c: Column | str) -> Column:
     this order, the first that makes a real date winning. Two-digit years from 69 on are of the 20th century.
     """
     c = F.col(c) if isinstance(c, str) else c
-    part = lambda i: F.regexp_extract(c, _THREE_PARTS, i)
-    two = lambda x: F.when(F.length(x) == 1, F.concat(F.lit("0"), x)).otherwise(x)
-    y, m, d = part(1), two(part(2)), two(part(3))
-    has_month, has_day = m != "00", (m != "00") & (d != "00")
-    whole = F.concat(y, F.when(has_month, m).otherwise(""), F.when(has_day, d).otherwise(""))
-    digits = F.when(F.coalesce(c.rlike(_THREE_PARTS), F.lit(False)), whole).otherwise(F.regexp_replace(c, "[^0-9]", ""))
-    digits = F.when(F.length(digits) == 5, F.concat(F.substr(digits, F.lit(1), F.lit(4)), F.lit("0"), F.substr(digits, F.lit(5), F.lit(1)))).otherwise(digits)
+    return let(_digits(c), _by_length)
+
+
+def _digits(c: Column) -> Column:
+    """The digits of the date, padded; one regular expression sees the text."""
+
+    def three(p: Column) -> Column:
+        two = lambda x: F.when(F.length(x) == 1, F.concat(F.lit("0"), x)).otherwise(x)
+        y, m, d = p[0], two(p[1]), two(p[2])
+        return F.concat(y, F.when(m != "00", m).otherwise(""), F.when((m != "00") & (d != "00"), d).otherwise(""))
+
+    # A three-part date becomes its parts with commas, which can't be in one; anything else stays as it is.
+    parts = F.split(F.regexp_replace(c, _THREE_PARTS, ",$1,$2,$3,"), ",")
+    is_three = lambda p: (F.size(p) == 5) & (p[0] == "") & (p[4] == "") & (F.length(p[1]) > 0)
+    plain = lambda p: F.regexp_replace(F.array_join(p, ","), "[^0-9]", "")
+    raw = let(parts, lambda p: F.when(is_three(p) & ~F.startswith(c, F.lit(",")), three(F.slice(p, 2, 3))).otherwise(plain(p)))
+    return let(raw, lambda x: F.when(F.length(x) == 5, F.concat(F.substr(x, F.lit(1), F.lit(4)), F.lit("0"), F.substr(x, F.lit(5), F.lit(1)))).otherwise(x))
+
+
+def _by_length(digits: Column) -> Column:
     n = F.length(digits)
     cut = lambda a, k: F.substr(digits, F.lit(a), F.lit(k)).try_cast("int")
     full = lambda yy: F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
@@ -50,8 +65,8 @@ def parse_partial_date(c: Column | str) -> Column:
 
 def release_date(parsed: Column) -> Column:
     """the DATE of a parsed partial date, month and day taken as 1 where unknown; null without a year."""
-    date = _iso(parsed["year"], F.coalesce(parsed["month"], F.lit(1)), F.coalesce(parsed["day"], F.lit(1)))
-    return F.when(parsed["year"].isNotNull(), date)
+    build = lambda p: F.when(p["year"].isNotNull(), _iso(p["year"], F.coalesce(p["month"], F.lit(1)), F.coalesce(p["day"], F.lit(1))))
+    return let(parsed, build)
 
 
 def first_of_next_month(c: Column | str) -> Column:

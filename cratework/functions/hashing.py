@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cratework.functions.text import trim_to_null
+from cratework.functions.text import let, trim_to_null
 
 _WRAP = 1 << 32
 
@@ -20,30 +20,26 @@ def signed_32(c: Column) -> Column:
 def java_hash(c: Column | str) -> Column:
     """the 31-polynomial over the UTF-16 units of a text, wrapped to a signed 32-bit integer; null stays null.
 
-    Units are read from the hex form in groups of four digits; the sum is kept in BIGINT below 2^37, which can't
+    Units are groups of four digits of the hex form, cut once; the sum is kept in BIGINT below 2^37, which can't
     overflow.
     """
     c = F.col(c) if isinstance(c, str) else c
-    h = F.hex(F.encode(c, "UTF-16BE"))
-    n = (F.length(h) / 4).cast("int")
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    unit = lambda i: F.conv(F.substr(h, i * 4 + 1, F.lit(4)), 16, 10).cast("long")
-    total = F.aggregate(places, F.lit(0).cast("long"), lambda a, i: (a * 31 + unit(i)).bitwiseAND(F.lit(_WRAP - 1)))
-    return F.when(c.isNotNull(), signed_32(total))
+    units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit("...."), F.lit(0))
+    total = F.aggregate(
+        units, F.lit(0).cast("long"), lambda a, u: (a * 31 + F.conv(u, 16, 10).cast("long")).bitwiseAND(F.lit(_WRAP - 1))
+    )
+    return let(total, signed_32)
 
 
 def fnv1_32(c: Column | str) -> Column:
     """FNV-1, 32 bits, over the UTF-8 bytes, as an unsigned value in BIGINT; null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    h = F.hex(F.encode(c, "UTF-8"))
-    n = (F.length(h) / 2).cast("int")
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    byte = lambda i: F.conv(F.substr(h, i * 2 + 1, F.lit(2)), 16, 10).cast("long")
+    units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-8")), F.lit(".."), F.lit(0))
+    byte = lambda u: F.conv(u, 16, 10).cast("long")
     # Offset basis 2166136261 and prime 16777619. The product stays below 2^57.
-    total = F.aggregate(
-        places, F.lit(2166136261).cast("long"), lambda a, i: (a * F.lit(16777619)).bitwiseAND(F.lit(_WRAP - 1)).bitwiseXOR(byte(i))
+    return F.aggregate(
+        units, F.lit(2166136261).cast("long"), lambda a, u: (a * F.lit(16777619)).bitwiseAND(F.lit(_WRAP - 1)).bitwiseXOR(byte(u))
     )
-    return F.when(c.isNotNull(), total)
 
 
 @dataclass(frozen=True)
@@ -69,8 +65,8 @@ def _length_32(c: Column) -> Column:
 
 def digest_field(c: Column) -> Column:
     """F8: one framed field: byte 00 for null or blank, else byte 01, length (32 bits, big-endian) and UTF-8 bytes, trimmed."""
-    t = trim_to_null(c)
-    return F.when(t.isNull(), F.unhex(F.lit("00"))).otherwise(F.concat(F.unhex(F.lit("01")), _length_32(t), F.encode(t, "UTF-8")))
+    frame = lambda t: F.when(t.isNull(), F.unhex(F.lit("00"))).otherwise(F.concat(F.unhex(F.lit("01")), _length_32(t), F.encode(t, "UTF-8")))
+    return let(trim_to_null(c), frame)
 
 
 def int_field(c: Column) -> Column:
@@ -90,7 +86,7 @@ def compat_slot(domain: IdentityDomain, relation: str, digest: Column, attempt:
     frame = F.concat(
         _bytes(domain.slot), F.unhex(F.lit("00")), _bytes(relation), F.unhex(F.lit("00")), digest, F.unhex(F.lpad(F.hex(at), 8, "0"))
     )
-    return signed_32(F.conv(F.substr(F.sha2(frame, 256), F.lit(1), F.lit(8)), 16, 10).cast("long"))
+    return let(F.conv(F.substr(F.sha2(frame, 256), F.lit(1), F.lit(8)), 16, 10).cast("long"), signed_32)
 
 
 def valid_digest(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cratework.functions.text import trim_to_null
+from cratework.functions.text import let, trim_to_null
 
 MAX_INT = 2147483647
 
@@ -17,22 +17,26 @@ def quantity(c: Column | str) -> Column:
     Trimmed; blank gives nulls and is valid. Otherwise only ASCII digits are valid; leading zeros go (one zero
     stays), and the integer is null where it exceeds 2147483647 while the text keeps all digits.
     """
-    t = trim_to_null(c)
-    ok = t.isNull() | t.rlike(r"^[0-9]+\z")
-    text = F.when(ok, F.regexp_replace(t, r"^0+(?=[0-9])", ""))
-    number = F.when(F.length(text) <= 10, text.try_cast("long"))
-    return F.struct(
-        F.when(number <= MAX_INT, number.cast("int")).alias("quantity"), text.alias("quantity_text"), ok.alias("valid")
-    )
+
+    def parts(t: Column) -> Column:
+        ok = F.translate(t, "0123456789", "") == ""
+        return let(F.when(ok, F.ltrim(t, F.lit("0"))), lambda bare: fields(t, bare))
+
+    def fields(t: Column, bare: Column) -> Column:
+        text = F.when(bare == "", "0").otherwise(bare)
+        number = F.when(F.length(bare) <= 10, text.try_cast("long"))
+        return F.struct(
+            F.when(number <= MAX_INT, number.cast("int")).alias("quantity"), text.alias("quantity_text"), (t.isNull() | bare.isNotNull()).alias("valid")
+        )
+
+    return let(trim_to_null(c), parts)
 
 
 def quantity_consistent(number: Column, text: Column) -> Column:
     """whether a stored pair is canonical: no negative number, number and text agree, no number beside an
     oversized text. A pair of nulls is; a number without a text isn't."""
-    canonical = quantity(text)
-    return F.coalesce(
-        canonical["valid"] & text.eqNullSafe(canonical["quantity_text"]) & number.eqNullSafe(canonical["quantity"]), F.lit(False)
-    )
+    same = lambda q: q["valid"] & text.eqNullSafe(q["quantity_text"]) & number.eqNullSafe(q["quantity"])
+    return F.coalesce(let(quantity(text), same), F.lit(False))
 
 
 def round_metric(c: Column) -> Column:

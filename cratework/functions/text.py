@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def trim_to_null(c: Column | str) -> Column:
     """F1/F8: strip the 25 white-space characters from both ends; an empty rest becomes null."""
     return F.nullif(F.btrim(_col(c), F.lit(WHITE_SPACE)), F.lit(""))

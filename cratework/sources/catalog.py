@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratework.functions.dates import in_month
-from cratework.functions.text import entity_name, last_segment
+from cratework.functions.text import entity_name, last_segment, let
 from cratework.operators.converge import insert_or_ignore
 from cratework.operators.dedupe import newest_per_group
 
@@ -43,10 +43,14 @@ def latest_year(pages: DataFrame, page: str = "value") -> DataFrame:
 
 def dump_address(uri: Column | str) -> Column:
     """Struct (dump_date, kind in lower case, known) of a dump's address by its file name."""
-    name = last_segment(uri)
-    date = F.try_to_date(F.nullif(F.regexp_extract(name, _FILE, 1), F.lit("")), "yyyyMMdd")
-    kind = F.nullif(F.lower(F.regexp_extract(name, _FILE, 2)), F.lit(""))
-    return F.struct(date.alias("dump_date"), kind.alias("kind"), F.coalesce(date.isNotNull() & kind.isin(*KINDS), F.lit(False)).alias("known"))
+    found = F.split(F.regexp_extract(last_segment(uri), _FILE, 0), r"[_.]")
+
+    def parts(p: Column) -> Column:
+        date = F.try_to_date(F.get(p, F.lit(1)), "yyyyMMdd")
+        kind = F.lower(F.get(p, F.lit(2)))
+        return F.struct(date.alias("dump_date"), kind.alias("kind"), F.coalesce(date.isNotNull() & kind.isin(*KINDS), F.lit(False)).alias("known"))
+
+    return let(found, parts)
 
 
 def listing(pages: DataFrame, page: str = "value") -> DataFrame:
@@ -58,9 +62,16 @@ def listing(pages: DataFrame, page: str = "value") -> DataFrame:
 
 def checksum_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Checksum (lower case), dump_date, kind of manifest lines; lines of another form are dropped."""
-    part = lambda i: F.nullif(F.regexp_extract(line, _CHECKSUM, i), F.lit(""))
-    rows = lines.select(F.lower(part(1)).alias("checksum"), F.try_to_date(part(2), "yyyyMMdd").alias("dump_date"), F.lower(part(3)).alias("kind"), *[c for c in lines.columns if c != line])
-    return rows.filter(F.col("checksum").isNotNull() & F.col("dump_date").isNotNull() & F.col("kind").isin(*KINDS))
+    parts = F.split(F.regexp_replace(line, _CHECKSUM + ".*", "$1,$2,$3"), ",")
+    fields = lambda p: F.struct(
+        F.when(F.length(p[0]) == 64, F.lower(p[0])).alias("checksum"), F.try_to_date(F.get(p, F.lit(1)), "yyyyMMdd").alias("dump_date"), F.lower(F.get(p, F.lit(2))).alias("kind")
+    )
+    rows = lines.select(F.explode(F.filter(F.array(let(parts, fields)), _is_sum)).alias("__s"), *[c for c in lines.columns if c != line])
+    return rows.select("__s.checksum", "__s.dump_date", "__s.kind", *[c for c in lines.columns if c != line])
+
+
+def _is_sum(s: Column) -> Column:
+    return s["checksum"].isNotNull() & s["dump_date"].isNotNull() & F.coalesce(s["kind"].isin(*KINDS), F.lit(False))
 
 
 def checksum_map(lines: DataFrame, line: str = "value", position: str = "line_no") -> DataFrame:
