@@ -109,30 +109,43 @@ class Finder:
                 hits.setdefault(k, set()).add((p, q))
         out = {}
         for k, places in hits.items():
-            _, pattern, bits = self.items[k]
-            run, least, covered, tried = 0, self.n + 1, 0, set()
-            for p, q in sorted(places):
-                for s in range(max(0, q + self.piece - self.n), min(q, len(pattern) - self.n) + 1):
-                    d = p - (q - s)
-                    if (d, s) in tried:
-                        continue
-                    tried.add((d, s))
-                    stretch = w[max(0, d - self.errors) : max(0, d + self.n + self.errors)]
-                    distance = myers(bits, s, self.n, stretch)
-                    if distance <= self.errors:
-                        covered |= ((1 << self.n) - 1) << s
-                        least = min(least, distance)
-                if least <= self.errors:
-                    a, b = 0, self.piece
-                    while p - a > 0 and q - a > 0 and w[p - a - 1] == pattern[q - a - 1]:
-                        a += 1
-                    while p + b < len(w) and q + b < len(pattern) and w[p + b] == pattern[q + b]:
-                        b += 1
-                    run = max(run, a + b)
-            if least <= self.errors:
-                out[k] = (run, least, covered.bit_count())
+            found = self._verify(w, self.items[k][1], self.items[k][2], places)
+            if found:
+                out[k] = found
         return out
 
+    def _verify(self, w: list[str], pattern: list[str], bits: dict[str, int], places: set[tuple[int, int]]) -> tuple[int, int, int] | None:
+        """Myers distance of each passage that holds one of the hit pieces, at the place where the piece puts it."""
+        run, least, covered = 0, self.n + 1, 0
+        window = (1 << self.n) - 1
+        ends: dict[int, int] = {}
+        tried: set[tuple[int, int]] = set()
+        for p, q in sorted(places):
+            a, b = 0, self.piece
+            if q < ends.get(p - q, -1):
+                continue  # inside the equal run of an earlier piece on the same diagonal
+            while p - a > 0 and q - a > 0 and w[p - a - 1] == pattern[q - a - 1]:
+                a += 1
+            while p + b < len(w) and q + b < len(pattern) and w[p + b] == pattern[q + b]:
+                b += 1
+            ends[p - q] = q + b
+            best = self.n + 1
+            for s in range(max(0, q + self.piece - self.n - a), min(q + b - self.piece, len(pattern) - self.n) + 1):
+                d = p - (q - s)
+                if (d, s) in tried:
+                    continue
+                tried.add((d, s))
+                stretch = w[max(0, d - self.errors) : max(0, d + self.n + self.errors)]
+                distance = myers(bits, s, self.n, stretch)
+                if distance <= self.errors:
+                    covered |= window << s
+                    best = min(best, distance)
+            if best <= self.errors:
+                least, run = min(least, best), max(run, a + b)
+                if run == len(pattern):
+                    break
+        return (run, least, covered.bit_count()) if least <= self.errors else None
+
 
 def leaks(
     documents: DataFrame,

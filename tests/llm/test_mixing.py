@@ -30,6 +30,18 @@ def test_token_counts_are_the_tokenizer(spark):
     assert e.decode(e.encode_ordinary("héllo <|endoftext|>")) == "héllo <|endoftext|>"
 
 
+def test_long_white_space():
+    import random
+
+    with open(tokens.DEFAULT_VOCABULARY, "rb") as f:
+        e = tokens.encoder(f.read())
+    rng = random.Random(1)
+    for _ in range(200):
+        t = "".join(rng.choice(["a", " ", " " * 7, "\n\n \n", "\t" * 5, "é", ".", "1", "\u3000\xa0 ", "\x1c"]) for _ in range(40))
+        assert tokens.count_tokens(e, t, 3) == len(e.encode_ordinary(t)), t
+    assert tokens.count_tokens(e, " " * 2_000_000 + "x") > 0
+
+
 def test_mix_against_exact_queueing(spark):
     docs, d, targets, t = tables(spark)
     mix = mixing.mix_sources(d, t, bucket_rows=5)
