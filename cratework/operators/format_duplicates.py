@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cratework.functions.text import letters_and_digits
 from cratework.operators.skew import salted_join
+from cratework.session import settle
 
 
 def canonical_set(c: Column) -> Column:
@@ -20,41 +21,59 @@ def canonical_set(c: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(F.array_distinct(kept)), " "), F.lit(""))
 
 
-def raw_digest(fields: Sequence[Column]) -> Column:
-    """SHA-256 of the byte-exact content of the fields (lists of texts); nulls, blanks and order all count."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*[c.alias(f"f{i}") for i, c in enumerate(fields)])), 256))
+KEY_BYTES = 16
 
 
-def collapse(df: DataFrame, fields: dict[str, Column], record: str) -> tuple[DataFrame, DataFrame]:
-    """Collapse records that are the same but for formatting.
+def _key(c: Column) -> Column:
+    """128 bits of SHA-256: one in 10^18 odds of any clash among 10^10 texts."""
+    return F.substring(F.unhex(F.sha2(c, 256)), 1, KEY_BYTES)
 
-    Returns (survivors, raw_groups). Survivors have one row for each canonical text: the canonical text of each
-    field, ``first_record`` (the smallest record value) and ``copies``. Raw groups map ``raw_key`` to the
-    canonical texts, with the copies that are byte-identical. Byte-identical rows are collapsed first, with
-    counts, combined map-side; only distinct survivors are canonicalised and grouped again on the full canonical
-    text, the counts being summed. Records without anything left in any field are no cases and are dropped. A
-    null ``record`` counts as a copy but is never first. Empty input gives empty results.
+
+def raw_key(fields: Sequence[Column]) -> Column:
+    """Key of the byte-exact content of the fields (lists of texts); nulls, blanks and order all count."""
+    return _key(F.to_json(F.struct(*[c.alias(f"f{i}") for i, c in enumerate(fields)])))
+
+
+def raw_groups(df: DataFrame, fields: dict[str, Column], record: str) -> DataFrame:
+    """raw_key, first, n_copies and the canonical text of each field, a row a distinct raw content.
+
+    Byte-identical rows are collapsed with counts, combined map-side, before anything is canonicalised. Records
+    without anything left in any field are no cases and are dropped.
     """
-    raw = df.select(F.col(record).alias("__record"), raw_digest(list(fields.values())).alias("raw_key"), *[c.alias(n) for n, c in fields.items()])
-    raw_groups = (
+    raw = df.select(F.col(record).alias("__record"), raw_key(list(fields.values())).alias("raw_key"), *[c.alias(n) for n, c in fields.items()])
+    return (
         raw.groupBy("raw_key")
-        .agg(F.min("__record").alias("__first"), F.count(F.lit(1)).alias("__copies"), *[F.first(n).alias(n) for n in fields])
-        .select("raw_key", "__first", "__copies", *[canonical_set(F.col(n)).alias(n) for n in fields])
+        .agg(F.min("__record").alias("first"), F.count(F.lit(1)).alias("n_copies"), *[F.first(n).alias(n) for n in fields])
+        .select("raw_key", "first", "n_copies", *[canonical_set(F.col(n)).alias(n) for n in fields])
         .filter(F.concat(*[F.col(n) for n in fields]) != "")
     )
-    survivors = raw_groups.groupBy(*fields).agg(F.min("__first").alias("first_record"), F.sum("__copies").alias("copies"))
-    return survivors, raw_groups
+
+
+def survivors_of(groups: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Raw groups grouped again on the full canonical text: the text, first_record and copies (counts summed)."""
+    return groups.groupBy(*names).agg(F.min("first").alias("first_record"), F.sum("n_copies").alias("copies"))
+
+
+def collapse(df: DataFrame, fields: dict[str, Column], record: str) -> DataFrame:
+    """Collapse records that are the same but for formatting: canonical texts, first_record (the smallest), copies.
+
+    A null ``record`` counts as a copy but is never first. Empty input gives no rows.
+    """
+    return survivors_of(raw_groups(df, fields, record), list(fields))
 
 
 def copies_of(df: DataFrame, fields: dict[str, Column], record: str) -> DataFrame:
     """first_record, copy_record: one row for each record that isn't the smallest of its group.
 
-    The survivors' first records go back to the raw groups (joined on the full canonical text, unique on both
-    sides of a group but for raw spellings) and from there, by the digest of the raw bytes with hot digests
-    salted, to the records. No pairs within a group are formed.
+    The survivors' first records go back to the raw groups by a key of the canonical text, and from there by the
+    raw key to the records, hot keys salted both times. The raw groups, which three steps use, are written once.
+    No pairs within a group are formed.
     """
-    survivors, raw_groups = collapse(df, fields, record)
-    named = salted_join(raw_groups.select("raw_key", *fields), survivors, list(fields), "inner").select("raw_key", "first_record")
-    records = df.select(F.col(record).alias("copy_record"), raw_digest(list(fields.values())).alias("raw_key"))
+    names = list(fields)
+    groups = settle(raw_groups(df, fields, record))
+    text_key = _key(F.concat_ws("\n", *names)).alias("text_key")
+    first = survivors_of(groups, names).select(text_key, "first_record")
+    named = salted_join(groups.select("raw_key", text_key), first, ["text_key"], "inner").select("raw_key", "first_record")
+    records = df.select(F.col(record).alias("copy_record"), raw_key(list(fields.values())).alias("raw_key"))
     joined = salted_join(records, named, ["raw_key"], "inner")
     return joined.filter(F.col("copy_record") > F.col("first_record")).select("first_record", "copy_record")

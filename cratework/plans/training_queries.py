@@ -109,7 +109,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "artist_xml").select("record_id", "urls", "namevariations")
-    return format_duplicates.collapse(rows, _p4_fields(), "record_id")[0].select("first_record", "copies")
+    return format_duplicates.collapse(rows, _p4_fields(), "record_id").select("first_record", "copies")
 
 
 SUMMARIES = {"release_item_artist": "artist_id", "label_release_item": "label_id"}

@@ -135,7 +135,7 @@ def test_duplicates_brute(spark):
             groups[canon(u), canon(n)].append(r)
     want = sorted((min(g), r) for g in groups.values() for r in g if r > min(g))
     assert rows(format_duplicates.copies_of(df, fields, "rid")) == sorted(want, key=repr)
-    survivors, _ = format_duplicates.collapse(df, fields, "rid")
+    survivors = format_duplicates.collapse(df, fields, "rid")
     assert Counter(rows(survivors.select("first_record", "copies"))) == Counter((min(g), len(g)) for g in groups.values())
     assert format_duplicates.copies_of(df.limit(0), fields, "rid").count() == 0
 
