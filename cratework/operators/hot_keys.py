@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keyed_summary(df: DataFrame, key: str, member: str, latest: str, spread: bool = True) -> DataFrame:
+def keyed_summary(df: DataFrame, key: str, member: str, latest: str) -> DataFrame:
     """key_id, n_rows, n_members (distinct non-null members), latest: one row a key, null key included as null.
 
     Two algebraic aggregations, both combined map-side: by (key, member) and then by key. A hot key is spread by
@@ -21,7 +21,10 @@ def keyed_summary(df: DataFrame, key: str, member: str, latest: str, spread: boo
     )
 
 
-def heavy_keys(summary: DataFrame, share: float) -> DataFrame:
-    """The keys of a ``keyed_summary`` that hold more than ``share`` of all rows (null is no key, but counts in the total)."""
-    total = summary.select(F.sum("n_rows")).scalar()
+def heavy_keys(summary: DataFrame, rows: DataFrame, share: float) -> DataFrame:
+    """The keys of the ``keyed_summary`` of ``rows`` that hold more than ``share`` of them (null is no key, but counts in the total).
+
+    The total is a scalar subquery that reads no column.
+    """
+    total = rows.select(F.count(F.lit(1))).scalar()
     return summary.filter(F.col("key_id").isNotNull() & (F.col("n_rows") > F.lit(share) * total))

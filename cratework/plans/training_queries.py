@@ -120,7 +120,7 @@ def _summary(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = [hot_keys.heavy_keys(_summary(spark, d, n), HEAVY_SHARE).select(F.lit(n).alias("table_name"), "key_id") for n in SUMMARIES]
+    parts = [hot_keys.heavy_keys(_summary(spark, d, n), table(spark, d, n), HEAVY_SHARE).select(F.lit(n).alias("table_name"), "key_id") for n in SUMMARIES]
     return reduce(DataFrame.unionByName, parts)
 
 

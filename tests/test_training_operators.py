@@ -149,8 +149,8 @@ def test_keyed_summary(spark):
     df = spark.createDataFrame(data, "k int, m int, at timestamp")
     s = hot_keys.keyed_summary(df, "k", "m", "at")
     assert rows(s) == sorted([(1, 3, 1, t(2024, 1, 3)), (None, 1, 1, t(2024, 1, 2)), (2, 1, 1, None)], key=repr)
-    assert rows(hot_keys.heavy_keys(s, 0.2).select("key_id")) == [(1,)]
-    assert hot_keys.heavy_keys(hot_keys.keyed_summary(df.limit(0), "k", "m", "at"), 0.02).count() == 0
+    assert rows(hot_keys.heavy_keys(s, df, 0.2).select("key_id")) == [(1,)]
+    assert hot_keys.heavy_keys(hot_keys.keyed_summary(df.limit(0), "k", "m", "at"), df.limit(0), 0.02).count() == 0
 
 
 # hierarchies
