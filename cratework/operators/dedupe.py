@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cratework.operators.skew import fresh
+from cratework.session import settle
 
 
 class ConflictError(ValueError):
@@ -92,21 +93,22 @@ def audit_duplicates(raw: DataFrame, kept: DataFrame, by: Sequence[str] = ()) ->
 def not_increasing(df: DataFrame, position: str, value: str, buckets: str | Column | None = None) -> DataFrame:
     """The rows whose ``value`` isn't greater than the one before them by ``position`` (within ``buckets``, if given).
 
-    A bucket (say a file or a block of positions) bounds what one task sorts; the first row of a bucket is then
-    held against the greatest position below it, so the answer doesn't depend on the buckets.
+    A bucket (say a file or a block of positions, in their order) bounds what one task sorts; without it the rows
+    are range-partitioned by position. The first row of a bucket is held against the last value before the bucket,
+    so the answer doesn't depend on the buckets. Positions are unique; nulls in ``value`` are never reported.
     """
-    before = F.lag(value)
-    if buckets is None:
-        w = W.partitionBy(F.lit(0)).orderBy(position)
-        return df.withColumn("previous", before.over(w)).filter(F.col("previous") >= F.col(value))
     b = fresh("b")
-    rows = df.withColumn(b, buckets if isinstance(buckets, Column) else F.col(buckets))
+    if buckets is None:
+        rows = settle(df.repartitionByRange(F.col(position)).withColumn(b, F.spark_partition_id()))
+    else:
+        rows = df.withColumn(b, buckets if isinstance(buckets, Column) else F.col(buckets))
     ends = rows.groupBy(b).agg(F.max_by(value, position).alias("__last"))
     ahead = ends.select(F.col(b), F.lag("__last").over(W.orderBy(b)).alias("__ahead"))
-    inner = rows.withColumn("__prev", before.over(W.partitionBy(b).orderBy(position)))
-    return inner.join(F.broadcast(ahead), b, "left").withColumn("previous", F.coalesce("__prev", "__ahead")).filter(
-        F.col("previous") >= F.col(value)
-    ).drop(b, "__prev", "__ahead")
+    w = W.partitionBy(b).orderBy(position)
+    inner = rows.withColumn("__prev", F.lag(value).over(w)).withColumn("__head", F.row_number().over(w) == 1)
+    joined = inner.join(F.broadcast(ahead), b, "left")  # a row a bucket
+    previous = F.when(F.col("__head"), F.col("__ahead")).otherwise(F.col("__prev"))
+    return joined.withColumn("previous", previous).filter(F.col("previous") >= F.col(value)).drop(b, "__prev", "__head", "__ahead")
 
 
 def union_counts(parts: Sequence[tuple[str, DataFrame]]) -> DataFrame:

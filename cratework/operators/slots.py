@@ -5,13 +5,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cratework.functions.hashing import IdentityDomain
+from cratework.functions.hashing import IdentityDomain, compat_slot
+from cratework.session import settle
 
 
 def slot_of(domain: IdentityDomain, relation: str, digest: bytes, attempt: int) -> int:
@@ -20,51 +18,38 @@ def slot_of(domain: IdentityDomain, relation: str, digest: bytes, attempt: int)
     return int.from_bytes(hashlib.sha256(frame).digest()[:4], "big", signed=True)
 
 
-def allocate(domain: IdentityDomain, relation: str, rows: list[tuple[int, bytes]]) -> dict[bytes, int]:
-    """The slots of one scope: rows are (legacy hash, digest).
-
-    By ascending legacy hash and, within one, ascending digest: the first digest keeps the hash, each further one
-    takes its first candidate that is no legacy hash of the scope and not given out yet.
-    """
-    reserved, given, out = {h for h, _ in rows}, set(), {}
-    first: dict[int, bytes] = {}
-    for h, digest in sorted(rows):
-        if h not in first:
-            first[h] = digest
-            out[digest] = h
-            continue
-        for attempt in range(1 << 32):
-            slot = slot_of(domain, relation, digest, attempt)
-            if slot not in reserved and slot not in given:
-                break
-        else:
-            raise ValueError("no free slot")
-        given.add(slot)
-        out[digest] = slot
-    return out
-
-
 def allocate_slots(df: DataFrame, scope: Sequence[str], legacy: str, digest: str, domain: IdentityDomain, relation: str) -> DataFrame:
     """Adds ``slot`` to rows that are unique by (scope, digest).
 
-    A row that is alone with its legacy hash keeps it: these rows never leave the JVM. Only scopes in which two
-    rows share a hash go to Arrow batches, grouped by scope, with nothing but hash and digest. A scope is a parent
-    record (the relations of one release), whose rows are few; scopes never span parents. Null hashes or digests
-    are refused.
-    """
-    shared = F.count(F.lit(1)).over(W.partitionBy(*scope, legacy)) > 1
-    flagged = df.withColumn("__shared", shared)
-    collided = flagged.filter("__shared").select(*scope).distinct()
-    kind = df.schema
-    schema = T.StructType([*[kind[c] for c in scope], kind[digest], T.StructField("__slot", T.IntegerType())])
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        slots = allocate(domain, relation, [(int(h), bytes(d)) for h, d in zip(group[legacy], group[digest])])
-        out = group[[*scope, digest]].copy()
-        out["__slot"] = [slots[bytes(d)] for d in group[digest]]
-        return out
+    Inside a scope, by ascending legacy hash and, within one, ascending digest (unsigned bytes): the first digest
+    of a hash keeps it; each further one takes its first candidate (attempt 0, 1, ...) that is no legacy hash of
+    the scope and wasn't given out to an earlier row.
 
-    wanted = df.select(*scope, legacy, digest).join(collided, list(scope), "left_semi")
-    given = wanted.groupBy(*scope).applyInPandas(run, schema)
-    joined = df.join(given, [*scope, digest], "left")
-    return joined.select(*df.columns, F.coalesce("__slot", legacy).alias("slot"))
+    The order is a common priority, so rounds of proposals give the same result as going through the rows one by
+    one: every open row proposes to its next candidate, each slot keeps the first of its proposers in priority, the
+    others go on. One round nearly always does. Rows that are first for their hash take no part, so a scope of any
+    size is spread over all tasks. Rows with a null scope, hash or digest keep the hash as it is. Empty input
+    gives no rows.
+    """
+    s = list(scope)
+    firsts = df.groupBy(*s, legacy).agg(F.min(digest).alias("__first"), F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    rows = df.select(*s, F.col(legacy).alias("__legacy"), F.col(digest).alias("__digest"))
+    later = rows.join(firsts.withColumnRenamed(legacy, "__legacy"), [*s, "__legacy"]).filter("__digest <> __first").drop("__first")
+    waiting = settle(later.withColumn("__attempt", F.lit(0)))
+    if waiting.isEmpty():
+        return df.withColumn("slot", F.col(legacy))
+    reserved = df.select(*s, F.col(legacy).alias("slot")).distinct()
+    held = None
+    while not waiting.isEmpty():
+        asked = waiting.withColumn("slot", compat_slot(domain, relation, F.col("__digest"), F.col("__attempt")))
+        asked = settle(asked.join(reserved.withColumn("__taken", F.lit(True)), [*s, "slot"], "left"))
+        fair = asked.filter("__taken is null").drop("__taken")
+        fair = fair if held is None else fair.unionByName(held)
+        best = fair.groupBy(*s, "slot").agg(F.min(F.struct("__legacy", "__digest")).alias("__best"))
+        judged = settle(fair.join(best, [*s, "slot"]).withColumn("__won", (F.col("__best.__legacy") == F.col("__legacy")) & (F.col("__best.__digest") == F.col("__digest"))))
+        columns = [*s, "__legacy", "__digest", "__attempt"]
+        held = judged.filter("__won").select(*columns, "slot")
+        again = judged.filter("not __won").select(*columns).unionByName(asked.filter("__taken").select(*columns))
+        waiting = settle(again.withColumn("__attempt", F.col("__attempt") + 1))
+    given = held.select(*s, F.col("__digest").alias(digest), F.col("slot").alias("__slot"))
+    return df.join(given, [*s, digest], "left").select(*df.columns, F.coalesce("__slot", legacy).alias("slot"))

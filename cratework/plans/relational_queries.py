@@ -692,3 +692,67 @@ def consolidated_run(spark: SparkSession, d: str) -> DataFrame:
 )
 def copy_progress(spark: SparkSession, d: str) -> DataFrame:
     return runs.copy_progress(_runs(spark, d)["run_dumps"], 0, 5).select("import_run_id", "processed_items")
+
+
+@query(f"WITH {_RUN_SQL} SELECT id, manifest, completed_at::VARCHAR AS completed_at FROM run WHERE manifest = '7' AND status = 'success' ORDER BY run.completed_at DESC, id DESC LIMIT 1")
+def newest_success(spark: SparkSession, d: str) -> DataFrame:
+    """O1: one row by its definition."""
+    out = runs.newest_success(_runs(spark, d)["runs"], "7")
+    return out.select("id", "manifest", F.date_format("completed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("completed_at"))
+
+
+@query(
+    f"""WITH r AS (SELECT rtrim({_CASE}, 's') AS entity_type, o_orderdate::DATE AS dump_date, o_orderkey AS pos FROM orders WHERE {_CASE} <> 'images')
+    SELECT entity_type, dump_date::VARCHAR AS dump_date, pos FROM r WHERE entity_type IN ('artist', 'release') QUALIFY row_number() OVER (PARTITION BY entity_type ORDER BY dump_date DESC, pos) = 1"""
+)
+def refresh_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The latest dump of each wanted entity, the first of equal dates."""
+    rows = _uris(spark, d).withColumn("a", catalog.dump_address("uri")).filter("a.known")
+    rows = rows.select(text.entity_name("a.kind").alias("entity_type"), F.col("a.dump_date").alias("dump_date"), F.col("o_orderkey").alias("pos"), F.col("o_orderkey").alias("uri"))
+    best = catalog.refresh_candidates(rows, ["release", "artist"], "pos")
+    return best.select("entity_type", F.col("dump_date").cast("string").alias("dump_date"), F.col("uri").alias("pos"))
+
+
+@query(
+    """SELECT o_orderkey AS id, o_orderdate::DATE::VARCHAR AS dump_date FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-04-01'
+    ORDER BY o_orderdate::DATE DESC, o_orderkey DESC LIMIT 1"""
+)
+def latest_in_month(spark: SparkSession, d: str) -> DataFrame:
+    """The newest dump of an entity inside a month."""
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("entity_type"), F.to_date("o_orderdate").alias("dump_date"))
+    return catalog.latest_dump(rows, "1-URGENT", F.lit("1996-03-01").cast("date")).select("id", F.col("dump_date").cast("string").alias("dump_date"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, count(*)::BIGINT AS n_rows FROM lineitem WHERE l_linenumber % 2 = 0 OR l_quantity >= 10 GROUP BY ALL"""
+)
+def quantity_check(spark: SparkSession, d: str) -> DataFrame:
+    """stored pairs of number and text that are canonical; odd lines pad their text to two digits, which isn't below 10."""
+    n = F.col("l_quantity").cast("int")
+    stored = F.when(F.col("l_linenumber") % 2 == 0, n.cast("string")).otherwise(F.lpad(n.cast("string"), 2, "0"))
+    good = table(spark, d, "lineitem").filter(numbers.quantity_consistent(n, stored))
+    return _count("l_orderkey", "l_linenumber", "l_partkey")(good)
+
+
+@query("SELECT doc_id, rtrim(lower(trim(lang)), 's') AS entity FROM documents WHERE lang IS NOT NULL AND lower(trim(lang)) NOT LIKE '%ss'")
+def entity_normalise(spark: SparkSession, d: str) -> DataFrame:
+    """F17, on a column whose values end in at most one s."""
+    rows = table(spark, d, "documents").filter("lang is not null and lower(trim(lang)) not like '%ss'")
+    return rows.select("doc_id", text.entity_name("lang").alias("entity"))
+
+
+@query(f"SELECT DISTINCT {_ws('country')} AS name FROM release_item WHERE {_ws('country')} IS NOT NULL ORDER BY name")
+def dimension_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct non-blank names in order."""
+    names = table(spark, d, "release_item").select(text.trim_to_null("country").alias("name")).filter("name is not null")
+    return names.distinct().orderBy("name")
+
+
+@query("SELECT user_id, event_id, round((value - first) / greatest(seconds, 1), 6) AS per_second FROM (SELECT user_id, event_id, value, min(value) OVER (PARTITION BY user_id) AS first, date_diff('second', TIMESTAMP '2024-01-01', ts) AS seconds FROM events)")
+def progress_rate(spark: SparkSession, d: str) -> DataFrame:
+    """items since the start of a run a second; a run's start is a user's least value."""
+    ev = table(spark, d, "events")
+    start = ev.groupBy("user_id").agg(F.min("value").alias("first"))
+    seconds = F.greatest(F.unix_timestamp("ts") - F.unix_timestamp(F.lit("2024-01-01").cast("timestamp")), F.lit(1))
+    rows = ev.join(start, "user_id")
+    return rows.select("user_id", "event_id", F.round(numbers.rate(F.col("value"), F.col("first"), seconds), 6).alias("per_second"))

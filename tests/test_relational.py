@@ -67,10 +67,15 @@ def test_slot_allocation(spark):
     assert slots.allocate_slots(df.limit(0), ["s"], "h", "d", CATALOGUE_DOMAIN, "r").count() == 0
 
 
-def test_slots_avoid_taken(monkeypatch):
-    tries = {b"b": [7, 5, 8], b"c": [8, 5, 9]}
-    monkeypatch.setattr(slots, "slot_of", lambda dom, rel, d, k: tries[d][k])
-    assert slots.allocate(CATALOGUE_DOMAIN, "r", [(5, b"a"), (5, b"b"), (5, b"c"), (7, b"d")]) == {b"a": 5, b"b": 8, b"c": 9, b"d": 7}
+def test_slots_avoid_taken(spark, monkeypatch):
+    """Candidates that are reserved or go to rows before them send rows on, over several rounds."""
+    monkeypatch.setattr(slots, "compat_slot", lambda dom, rel, d, k: (F.ascii(F.decode(d, "UTF-8")) % 3 + k).cast("int"))
+    monkeypatch.setattr(slots, "slot_of", lambda dom, rel, d, k: d[0] % 3 + k)
+    data = [(s, h, bytes([97 + i])) for s in (1, 2) for i, h in enumerate([0, 0, 0, 2, 2, 5, 5, 5, 5, 9][: 10 if s == 1 else 6])]
+    df = spark.createDataFrame(data, "s int, h int, d binary")
+    got = {(r["s"], bytes(r["d"])): r["slot"] for r in slots.allocate_slots(df, ["s"], "h", "d", CATALOGUE_DOMAIN, "r").collect()}
+    for s in (1, 2):
+        assert {d: v for (t, d), v in got.items() if t == s} == brute_slots([(h, d) for t, h, d in data if t == s])
 
 
 def test_upsert(spark):
