@@ -6,6 +6,7 @@ import datetime as dt
 import math
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
@@ -21,6 +22,7 @@ from cratework.sources.catalog import delete_files
 from cratework.sources.xml import read_entity
 
 EARLIEST = (2008, 3)
+WRITERS = 6
 
 
 @dataclass
@@ -82,10 +84,10 @@ def import_entity(store: Store, entity: str, records: DataFrame, observed_at: st
     known = {e: transforms.known_ids(dump_ids if e == entity else None, store.read(e), strict and e == entity) if (e == entity or store.read(e) is not None) else empty for e in ("artist", "label", "master")}
     build = transforms.BUILDERS[entity]
     tables = build(records, known, seed) if entity == "master" else build(records, known)
-    staged: dict[str, str] = {}
-    for name, rows in tables.items():
+
+    def stage(name: str) -> tuple[str, str]:
         t = TABLES[name]
-        incoming = transforms.observed(transforms.canonical(rows, t), t, at)
+        incoming = transforms.observed(transforms.canonical(tables[name], t), t, at)
         stored = store.read(name)
         if stored is None:
             merged = incoming
@@ -95,7 +97,10 @@ def import_entity(store: Store, entity: str, records: DataFrame, observed_at: st
             merged = insert_or_ignore(stored, incoming, t.key)
         else:
             merged = converge_relation(stored, incoming, dump_ids.select(F.col("id").alias(t.root)), t.root, t.match, t.nullable)
-        staged[name] = store.stage(name, merged)
+        return name, store.stage(name, merged)
+
+    with ThreadPoolExecutor(WRITERS) as pool:  # tables are independent of each other until they are published
+        staged = dict(pool.map(stage, tables))
     if entity == "release" and (masters := store.read("master")) is not None:
         releases = store.staged("release_item", staged["release_item"])
         linked = reconcile_backlinks(masters, releases, "id", "main_release_id", "master_id", "id", [F.col("last_modified_at")], F.coalesce(F.col("is_master"), F.lit(False)))

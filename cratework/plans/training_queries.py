@@ -54,7 +54,7 @@ def _flat_sql(path: str, linked: bool) -> str:
 def _references(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, str]]:
     """For each table the references (period, row_id, target_id) and the name of the table they point into."""
     xml = table(spark, d, "artist_xml").select("dump_date", "id", "aliases", "groups", "members")
-    members = shred.grouped_triples(xml.withColumnRenamed("groups", "groups"), ["dump_date", "id"]).select(
+    members = shred.grouped_triples(xml, ["dump_date", "id"]).select(
         F.concat(F.lit("artist_xml."), F.substring_index("group", ".", 1)).alias("ref_table"),
         "dump_date", F.col("id").alias("row_id"), F.element_at("leaves", F.lit("_id")).cast("int").alias("target_id"),
     )
