@@ -250,3 +250,28 @@ def test_running_sums(spark):
 def test_hot_keys_bound(spark):
     df = spark.createDataFrame([(k,) for k in [1] * 50 + [2] * 30 + [None] * 40 + list(range(3, 33))], "k int")
     assert rows(skew.hot_keys(df, ["k"], 0.1)) == [(1,), (2,)]
+
+
+def test_clashing_column_names(spark):
+    """Extra columns named like an operator's own change nothing."""
+    d = D(2024, 1, 1)
+    df = spark.createDataFrame([(d, 1, "x", "c", 9), (D(2024, 2, 1), 1, "y", "c", 9)], "d date, id int, name string, change_kind string, __v int")
+    assert rows(snapshots.snapshot_changes(df, "d", ["id"], [F.col("name")])) == [(D(2024, 2, 1), 1, "changed")]
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "k int, key_id int, n_rows int, latest int, __n int")
+    assert rows(hot_keys.keyed_summary(df, "k", "key_id", "latest")) == [(1, 1, 1, 4)]
+    df = spark.createDataFrame([(1, ["A"], "r", 1, 1), (2, ["a "], "r", 1, 1)], "rid int, first array<string>, raw_key string, n_copies int, copy_record int")
+    assert rows(format_duplicates.copies_of(df, {"x": F.col("first")}, "rid")) == [(1, 2)]
+    df = spark.createDataFrame([(1, 2, "r", 7)], "parent int, child int, root string, depth int")
+    assert rows(hierarchy.spanning_trees(hierarchy.clean_edges(df, "parent", "child")).select("root", "node", "depth")) == [(1, 1, 0), (1, 2, 1)]
+    df = spark.createDataFrame([(1, 5, "v")], "id int, target int, k string")
+    assert orphans.orphan_references(df, df, [("target", "id")]).columns == ["id", "target", "k"]
+    df = spark.createDataFrame([(1, (["x"],), "g", "p")], "id int, urls struct<url:array<string>>, ordinals string, leaves string")
+    assert rows(shred.shred(df, ["id"])["urls.url"]) == [(1, 1, "x")]
+
+
+def test_very_long_texts(spark):
+    long = "Ab " * 300_000
+    df = spark.createDataFrame([(1, [long]), (2, [long.upper() + "!"]), (3, [long + "x"])], "rid int, u array<string>")
+    assert rows(format_duplicates.copies_of(df, {"u": F.col("u")}, "rid")) == [(1, 2)]
+    df = spark.createDataFrame([(D(2024, 1, 1), 1, long), (D(2024, 2, 1), 1, long + "x")], "d date, id int, t string")
+    assert rows(snapshots.snapshot_changes(df, "d", ["id"], [trim_to_null("t")])) == [(D(2024, 2, 1), 1, "changed")]
