@@ -105,3 +105,12 @@ def test_fair_end():
     assert mixing.fair_end([(0.5, 10), (0.5, 100)], 100) == pytest.approx(180)
     assert mixing.fair_end([(0.5, 10), (0.5, 20)], 100) == 40
     assert mixing.fair_end([], 100) == 0
+
+
+def test_mix_with_clashing_names(spark):
+    docs, d, targets, t = tables(spark, 3, 150)
+    from pyspark.sql import functions as F
+
+    extra = {c: F.lit(1) for c in ("size", "n_tokens", "source_key", "copy", "target_share", "doc")}
+    plain = mixing.mix_sources(d, t).report.orderBy("source").collect()
+    assert mixing.mix_sources(d.withColumns(extra), t.withColumns({"size": F.lit(2), "source_key": F.lit("q")})).report.orderBy("source").collect() == plain
