@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ def spanning_trees(edges: DataFrame) -> DataFrame:
     what was reached before. A root itself has depth 0 and a null parent. No roots (only cycles) give no rows.
     """
     edges = edges.select(F.col("parent").alias("__p"), F.col("child").alias("__c"))
+    edges = edges.repartition("__p").persist(StorageLevel.MEMORY_AND_DISK)  # shuffled once, not once a level
     roots = edges.select(F.col("__p").alias("node")).distinct().join(edges.select(F.col("__c").alias("node")).distinct(), "node", "left_anti")
     kind = edges.schema["__p"].dataType
     level = settle(roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"), F.lit(None).cast(kind).alias("parent")))
@@ -53,6 +55,7 @@ def spanning_trees(edges: DataFrame) -> DataFrame:
             .join(seen, ["root", "node"], "left_anti")
         )
         level = settle(step.select("root", "node", F.lit(depth).alias("depth"), "parent"))
+    edges.unpersist()
     return reduce(DataFrame.unionAll, done or [level])
 
 
