@@ -5,7 +5,8 @@ spans a tree of its own, made of the shortest ways (ties: the smallest parent),
 node). On these trees subtree sizes are computed upward, sibling ranges are given out by prefix sums and summed
 downward, both by pointer doubling, so that the number of passes is the logarithm of the depth. Only finding the
 shortest ways takes one pass a level. Nodes that peeling from above and below leaves unprocessed hold all
-cycles; their classes are found by colouring.
+cycles; their classes are found by colouring. A node's range holds what hangs below it in the tree; all that can
+be reached from it, also over links that are in no tree, comes from a closure of the links by doubling.
 """
 
 from __future__ import annotations
@@ -29,15 +30,49 @@ def clean_edges(links: DataFrame, parent: str, child: str) -> DataFrame:
     )
 
 
-def spanning_trees(edges: DataFrame) -> DataFrame:
+def descendants(edges: DataFrame) -> DataFrame:
+    """node, below, distance: all nodes that can be reached from each node over any links, with the fewest links (1 at least).
+
+    A node on a cycle is below itself. Nothing depends on roots or trees, so several parents and cycles without a
+    root lose nothing. With all pairs of at most 2^k links known, those of exactly 2^k links are joined to all of
+    them, which gives every pair of at most twice the links: logarithmically many passes.
+    """
+    links = edges.select(F.col("parent").alias("node"), F.col("child").alias("below"))
+    known = settle(links.distinct().withColumn("distance", F.lit(1)))
+    step = 1
+    while True:
+        far = known.filter(F.col("distance") == step).select("node", F.col("below").alias("via"))
+        on = known.select(F.col("node").alias("via"), "below", (F.col("distance") + step).alias("distance"))
+        more = settle(far.join(on, "via").groupBy("node", "below").agg(F.min("distance").alias("distance")).join(known, ["node", "below"], "left_anti"))
+        if more.isEmpty():
+            return known
+        known = settle(known.unionByName(more))
+        step *= 2
+
+
+def rootless_starts(below: DataFrame) -> DataFrame:
+    """node: the smallest node of each cycle that nothing outside it reaches, from ``descendants``.
+
+    Whatever no root reaches is below one of these: what reaches such a node is exactly its class of mutual reach.
+    """
+    back = below.select(F.col("node").alias("below"), F.col("below").alias("node"), F.lit(1).alias("back"))
+    above = below.select("node", "below").join(back, ["node", "below"], "left").groupBy("below")
+    counts = above.agg(F.count(F.lit(1)).alias("above"), F.count("back").alias("mutual"), F.min("node").alias("least"))
+    return counts.filter("above = mutual and least = below").select(F.col("below").alias("node"))
+
+
+def spanning_trees(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """root, node, depth, parent: each node reachable from a root (a parent that is never a child), by the shortest way.
 
     Level by level: the last level is joined to the links, combined to one row a (root, node) and anti-joined with
-    what was reached before. A root itself has depth 0 and a null parent. No roots (only cycles) give no rows.
+    what was reached before. A root itself has depth 0 and a null parent. No roots (only cycles) give no rows, unless
+    ``starts`` (node; none of them a root) are taken as roots besides. The trees hold shortest ways only: a node of
+    several parents hangs under one of them, so what is below an inner node is for ``descendants`` to say.
     """
     edges = edges.select(F.col("parent").alias("__p"), F.col("child").alias("__c"))
     edges = edges.repartition("__p").persist(StorageLevel.MEMORY_AND_DISK)  # shuffled once, not once a level
     roots = edges.select(F.col("__p").alias("node")).distinct().join(edges.select(F.col("__c").alias("node")).distinct(), "node", "left_anti")
+    roots = roots if starts is None else roots.union(starts)
     kind = edges.schema["__p"].dataType
     level = settle(roots.select(F.col("node").alias("root"), "node", F.lit(0).alias("depth"), F.lit(None).cast(kind).alias("parent")))
     done: list[DataFrame] = []

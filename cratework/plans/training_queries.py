@@ -143,13 +143,28 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_nested_sets(spark: SparkSession, d: str) -> DataFrame:
-    """root, label, depth, subtree size, preorder range and path of each label below each root."""
-    trees = hierarchy.spanning_trees(_links(spark, d))
+    """root, label, depth, subtree size, preorder range, path and number of descendants of each label below each root.
+
+    Size and range are those of the tree of shortest ways; ``descendants`` counts the labels other than itself that
+    the label reaches over any links (p6_descendants lists them). A cycle that no root reaches is represented by its
+    smallest label as root, so that each label of a link is in some row.
+    """
+    edges = _links(spark, d)
+    below = hierarchy.descendants(edges)
+    trees = hierarchy.spanning_trees(edges, hierarchy.rootless_starts(below))
     ranges = hierarchy.nested_sets(trees)
+    counts = below.filter("node <> below").groupBy("node").agg(F.count(F.lit(1)).alias("descendants"))
     ways = hierarchy.paths(trees).select("root", "node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
-    return ranges.join(ways, ["root", "node"]).select(
-        F.col("root").alias("root_label_id"), F.col("node").alias("label_id"), "depth", F.col("size").alias("subtree_size"), "first", "last", "path"
-    )
+    return ranges.join(ways, ["root", "node"]).join(counts, "node", "left").select(
+        F.col("root").alias("root_label_id"), F.col("node").alias("label_id"), "depth", F.col("size").alias("subtree_size"), "first", "last", "path",
+        F.coalesce("descendants", F.lit(0)).alias("descendants"),
+    )
+
+
+def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """Each label with each other label below it, over whatever links, and the fewest links between them."""
+    below = hierarchy.descendants(_links(spark, d)).filter("node <> below")
+    return below.select(F.col("node").alias("label_id"), F.col("below").alias("descendant_id"), "distance")
 
 
 def p6_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -176,6 +191,7 @@ QUERIES = {
     "p5_labels": _p5("label_release_item"),
     "p6_found": p6_found,
     "p6_nested_sets": p6_nested_sets,
+    "p6_descendants": p6_descendants,
     "p6_sizes": p6_sizes,
 }
 

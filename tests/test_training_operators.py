@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cratework.functions.text import trim_to_null
 from cratework.operators import format_duplicates, hierarchy, hot_keys, orphans, shred, skew, snapshots
+from cratework.plans import training_queries
 
 D = dt.date
 
@@ -217,6 +218,45 @@ def test_hierarchy_empty_and_cycles_only(spark):
     assert rows(hierarchy.cycle_classes(ring)) == [(1, 1), (2, 1)]
 
 
+def brute_below(edges):
+    """(node, below) -> fewest links, at least one."""
+    children = {}
+    for p, c in edges:
+        children.setdefault(p, set()).add(c)
+    found = {}
+    for start in children:
+        level, depth = {start}, 0
+        while level:
+            depth += 1
+            level = {c for n in level for c in children.get(n, ()) if (start, c) not in found}
+            found |= {(start, c): depth for c in level}
+    return found
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_descendants_of_inner_nodes(spark, seed):
+    rng = random.Random(seed)
+    edges = [(1, 2), (1, 3), (2, 3), (3, 4)]  # 3 hangs under 1 only, but is below 2 as well
+    edges += [(10, 11), (11, 10), (11, 12), (12, 13), (13, 14), (14, 13)] + [(20, 20), (20, 21)]  # cycles without a root
+    edges += [(rng.randrange(30, 50), rng.randrange(40, 70)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(21)]
+    clean = hierarchy.clean_edges(spark.createDataFrame(edges, "p int, c int"), "p", "c")
+    below, want = hierarchy.descendants(clean), brute_below(edges)
+    assert {(r["node"], r["below"]): r["distance"] for r in below.collect()} == want
+    starts = rows(hierarchy.rootless_starts(below))
+    assert {(10,), (20,)} <= set(starts) and (13,) not in starts
+    trees = hierarchy.nested_sets(hierarchy.spanning_trees(clean, hierarchy.rootless_starts(below))).collect()
+    assert {r["node"] for r in trees} == {x for e in edges for x in e}
+
+
+def test_nested_sets_query_counts_all_descendants(spark, tmp_path):
+    edges = [(1, 2), (1, 3), (2, 3), (3, 4), (10, 11), (11, 10), (11, 12), (None, 5), (7, None)]
+    spark.createDataFrame(edges, "parent_label_id int, sub_label_id int").write.parquet(str(tmp_path / "label_sub_label.parquet"))
+    got = {(r["root_label_id"], r["label_id"]): r["descendants"] for r in training_queries.p6_nested_sets(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): 3, (1, 2): 2, (1, 3): 1, (1, 4): 0, (10, 10): 2, (10, 11): 2, (10, 12): 0}
+    pairs = training_queries.p6_descendants(spark, str(tmp_path)).select("label_id", "descendant_id")
+    assert set(rows(pairs)) == {k for k in brute_below([e for e in edges if None not in e]) if k[0] != k[1]}
+
+
 # skew helpers
 
 
