@@ -7,7 +7,8 @@ number of its neighbouring occurrences and the number of documents that have it.
 third pass scores each document by itself:
 
 * mean PMI: a pair counts once a document, so that a page can't vouch for its own word salad; a line whose mean
-  PMI is low and whose words keep coming back is salad;
+  PMI is low and whose words keep coming back is salad, whether or not it has any repeated pair or link; lines with too
+  few pairs to tell are salad if the page as a whole is;
 * burst: occurrences in a document that has the pair (for pairs with a rare word or in less than ``THIN`` of all
   documents: in this document), those of a document with more than ``SPAN`` neighbours counted per ``SPAN`` of them. A pair that comes back in this document and is bursty in the corpus is an
   excessively repeated collocation, while the grammar of a language is spread thin over all its pages; so is a
@@ -251,7 +252,11 @@ def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray
     spam |= (hits >= ECHO_SHARE * size) & (returning >= ECHO * page.sizes) & (size > 0)
     known = np.bincount(pair_line, ~rare, lines)
     coherence = np.bincount(pair_line, np.where(rare, 0, values), lines)
-    spam |= (known >= SALAD_PAIRS) & (coherence < SALAD_PMI * known) & (2 * returning > page.sizes) & (hits > 0)
+    spam |= (known >= SALAD_PAIRS) & (coherence < SALAD_PMI * known) & (2 * returning > page.sizes)
+    # lines too short to be judged alone, on a page that is salad as a whole
+    of_page = lambda x: np.bincount(page.doc, x, docs)
+    salad = (of_page(known) >= SALAD_PAIRS) & (of_page(coherence) < SALAD_PMI * of_page(known)) & (2 * of_page(returning) > of_page(page.sizes))
+    spam |= salad[page.doc] & (known < SALAD_PAIRS) & (page.sizes > 0)
     between = np.zeros(lines, bool)
     if lines > 2:
         same = (page.doc[:-2] == page.doc[1:-1]) & (page.doc[2:] == page.doc[1:-1])

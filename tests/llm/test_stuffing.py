@@ -107,3 +107,20 @@ def test_slices():
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["x" * 10, None, "y" * 50, "", "z" * 5, "w" * 30, "v"])], names=["i", "t"])
     parts = list(slices(iter([batch]), 1, 40))
     assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and len(parts) > 2
+
+
+def shuffled(rng, per_line):
+    """Frequent words of the articles in random order, without a link, a tag or a pair three times on the page."""
+    pool = [w for t in ADJECTIVES + NOUNS + PLACES for w in [t] * 7]
+    while True:
+        rng.shuffle(pool)
+        pairs = [p for i in range(0, len(pool), per_line) for p in zip(pool[i : i + per_line], pool[i + 1 : i + per_line])]
+        if max(pairs.count(p) for p in set(pairs)) < stuffing.REPEATS:
+            return "\n".join(" ".join(pool[i : i + per_line]) for i in range(0, len(pool), per_line))
+
+
+def test_salad_without_repeated_pairs(spark):
+    rng = random.Random(11)
+    rows = [(i, article(rng)) for i in range(300)] + [(1000 + i, shuffled(rng, 301 if i < 3 else 3)) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]} == set(range(1000, 1006))
