@@ -13,6 +13,8 @@ third pass scores each document by itself:
   documents: in this document), those of a document with more than ``SPAN`` neighbours counted per ``SPAN`` of them. A pair that comes back in this document and is bursty in the corpus is an
   excessively repeated collocation, while the grammar of a language is spread thin over all its pages; so is a
   pair with ``LIFT`` times its usual burst;
+* lists: repeated pairs with a rare word or in less than ``THIN`` of all documents that come ``LIFT`` times as often as their share of all pairs in the corpus predicts are
+  excessive, however many different ones there are, if ``LISTED_SHARE`` of the page's pairs are such;
 * words of external addresses and their anchors, of tags and short lines with a price, and lines that consist
   mainly of any of these, or partly, if all their words keep coming back.
 
@@ -43,6 +45,7 @@ UNIT = 1024
 THIN = 0.001
 LIFT = 5.0
 LIFT_REPEATS = 5
+LISTED_SHARE = 0.4
 LINE_SHARE = 0.5
 ECHO_SHARE = 0.3
 ECHO = 0.9
@@ -197,7 +200,12 @@ def pair_counts(documents: DataFrame, text: str, classes) -> DataFrame:
 
 
 def statistics(documents: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(frequent words, PMI of each pair, burst of each pair), from all documents.
+    """(frequent words, PMI of each pair, burst of each pair), from all documents."""
+    return pair_tables(documents, text)[:3]
+
+
+def pair_tables(documents: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(frequent words, PMI of each pair, burst of each pair, share of each pair in all pairs), from all documents.
 
     Pairs never seen have PMI -2; thin pairs have burst 0.
     """
@@ -206,6 +214,7 @@ def statistics(documents: DataFrame, text: str = "text") -> tuple[list[str], np.
     sent = documents.sparkSession.sparkContext.broadcast(classes)
     found = pair_counts(documents, text, sent).toArrow()
     pmi, burst = np.full(CLASSES**2, -2.0, np.float32), np.zeros(CLASSES**2, np.float32)
+    usual = np.zeros(CLASSES**2, np.float32)
     at, n, d = (found.column(c).to_numpy() for c in ("pair", "n", "n_docs"))
     docs, real = n[at < 0].sum(), at >= 0
     at, n, d = at[real], n[real], d[real].astype(np.float64)
@@ -214,10 +223,11 @@ def statistics(documents: DataFrame, text: str = "text") -> tuple[list[str], np.
         right = np.bincount(at % CLASSES, d, CLASSES)
         pmi[at] = np.log(d * d.sum() / (left[at // CLASSES] * right[at % CLASSES]))
         burst[at] = np.where(d < THIN * docs, 0, n / UNIT / d)
-    return classes, pmi, burst
+        usual[at] = n / n.sum()
+    return classes, pmi, burst, usual
 
 
-def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray, usual: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text: its words, the words labelled as spam, the mean PMI of its neighbours (NaN if it has none)."""
     docs = len(texts)
     total = _words_in(pc.fill_null(texts, ""))
@@ -239,6 +249,10 @@ def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray
     own = here * page.density(docs)[pair_doc] / UNIT
     lifted = (here >= LIFT_REPEATS) & (own >= LIFT * np.maximum(burst[codes], 1))
     excess = lifted | (here >= REPEATS) & (np.where(rare | (burst[codes] == 0), own, burst[codes]) >= BURST)
+    # a list of many different keywords: none has a large share of the page, but together they have
+    listed = (rare | (burst[codes] == 0)) & (here >= REPEATS) & (here >= LIFT * n_pairs[pair_doc] * np.where(rare, 0, usual[codes]))
+    lists = np.bincount(pair_doc, listed, docs) >= LISTED_SHARE * np.maximum(n_pairs, 1)
+    excess |= listed & lists[pair_doc]
     mark = np.zeros(len(page.ids), bool)
     mark[page.first[excess]] = True
     mark[page.first[excess] + 1] = True
@@ -270,7 +284,7 @@ def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray
 def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text", share: float = SPAM_SHARE) -> DataFrame:
     """doc, n_words, spam_words, mean_pmi, is_spam for every document (null text: no words, no spam, null PMI)."""
     spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast(statistics(documents, text))
+    sent = spark.sparkContext.broadcast(pair_tables(documents, text))
     key_type = documents.schema[doc].dataType
     schema = T.StructType([
         T.StructField(doc, key_type), T.StructField("n_words", T.LongType()), T.StructField("spam_words", T.LongType()),
@@ -279,10 +293,10 @@ def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text",
     arrow = to_arrow_type(key_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pmi, burst = sent.value
+        words, pmi, burst, usual = sent.value
         classes = pa.array(words, pa.string())
         for batch in slices(batches, 1):
-            total, spam, mean = score(batch.column(1), classes, pmi, burst)
+            total, spam, mean = score(batch.column(1), classes, pmi, burst, usual)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow), pa.array(total), pa.array(spam), pa.array(mean, from_pandas=True), pa.array(spam > share * total)],
                 names=schema.names,

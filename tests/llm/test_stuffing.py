@@ -124,3 +124,12 @@ def test_salad_without_repeated_pairs(spark):
     rows = [(i, article(rng)) for i in range(300)] + [(1000 + i, shuffled(rng, 301 if i < 3 else 3)) for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]} == set(range(1000, 1006))
+
+
+def test_long_list_of_many_keywords(spark):
+    """100 keywords over and over in one order: each pair has a hundredth of the page."""
+    rng = random.Random(12)
+    keys = [f"{a}{b}{c}" for a in ("wo", "ki", "sha", "lu", "pe") for b in ("ma", "tro", "ni", "se", "du") for c in ("x", "l", "rt", "k")]
+    rows = [(i, article(rng, 3)) for i in range(2200)] + [(10000, ", ".join(keys * 50)), (10001, "\n".join(" ".join(keys) for _ in range(50))), (20000, article(rng, 400))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]} == {10000, 10001}
