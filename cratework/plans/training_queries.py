@@ -104,7 +104,8 @@ def _p4_fields() -> dict:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return format_duplicates.copies_of(table(spark, d, "artist_xml").select("record_id", "urls", "namevariations"), _p4_fields(), "record_id").distinct()
+    copies = format_duplicates.copies_of(table(spark, d, "artist_xml").select("record_id", "urls", "namevariations"), _p4_fields(), "record_id")
+    return copies.select(F.col("first_record").alias("first_record_id"), F.col("copy_record").alias("copy_record_id")).distinct()
 
 
 def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:

@@ -218,6 +218,13 @@ def test_hierarchy_empty_and_cycles_only(spark):
     assert rows(hierarchy.cycle_classes(ring)) == [(1, 1), (2, 1)]
 
 
+def test_p4_found_columns(spark, tmp_path):
+    data = [(1, (["A"],), None), (2, (["a "],), (["-"],)), (3, (["b"],), None)]
+    spark.createDataFrame(data, "record_id long, urls struct<url:array<string>>, namevariations struct<name:array<string>>").write.parquet(str(tmp_path / "artist_xml.parquet"))
+    got = training_queries.p4_found(spark, str(tmp_path))
+    assert got.columns == ["first_record_id", "copy_record_id"] and rows(got) == [(1, 2)]
+
+
 def brute_below(edges):
     """(node, below) -> fewest links, at least one."""
     children = {}
