@@ -25,9 +25,8 @@ def snapshot_changes(
 
     Every row is tagged as the later side of its own snapshot and as the earlier side of the next one; rows are
     hashed over ``compare`` (null differs from any value) and the two sides of a key meet in one aggregation,
-    combined map-side. A snapshot's rows of one key are compared as a set of at most two extreme hashes, so
-    repeated rows don't matter and conflicting versions count as changed whenever the least or the greatest
-    version hash differs. Keys with nulls are keys like others. The first snapshot gives no rows, nor does a
+    combined map-side. A snapshot's rows of one key are compared as the set of their distinct
+    hashes, so repeated rows don't matter and conflicting versions count as changed whenever any version comes or goes. Keys with nulls are keys like others. The first snapshot gives no rows, nor does a
     table with fewer than two snapshots. ``unchanged`` also returns the keys that stayed the same.
     """
     dates = snapshot_dates(df, period)
@@ -48,12 +47,12 @@ def snapshot_changes(
     )
     new, old = F.when(F.col("__side.later"), F.col("__v")), F.when(~F.col("__side.later"), F.col("__v"))
     both = tagged.groupBy(F.col("__side.at").alias(period), *key).agg(
-        F.min(new).alias("__n0"), F.max(new).alias("__n1"), F.min(old).alias("__o0"), F.max(old).alias("__o1")
+        F.sort_array(F.collect_set(new)).alias("__n"), F.sort_array(F.collect_set(old)).alias("__o")
     )
     change = (
-        F.when(F.col("__o0").isNull(), "added")
-        .when(F.col("__n0").isNull(), "removed")
-        .when((F.col("__n0") != F.col("__o0")) | (F.col("__n1") != F.col("__o1")), "changed")
+        F.when(F.size("__o") == 0, "added")
+        .when(F.size("__n") == 0, "removed")
+        .when(F.col("__n") != F.col("__o"), "changed")
         .otherwise("unchanged")
     )
     out = both.select(period, *key, change.alias("change_kind"))

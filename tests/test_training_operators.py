@@ -110,6 +110,17 @@ def test_snapshots(spark):
         assert snapshots.snapshot_changes(part, "d", ["id"], [F.col("name")]).count() == 0
 
 
+def test_snapshots_any_of_many_versions(spark):
+    """Whichever version changes, the least, a middle or the greatest hash, the key is changed."""
+    old, data = [f"v{i}" for i in range(7)], []
+    for i in range(7):
+        new = [*old[:i], f"w{i}", *old[i + 1 :]]
+        data += [(D(2024, 1, 1), i, v) for v in old] + [(D(2024, 2, 1), i, v) for v in reversed(new)]
+    data += [(D(2024, 1, 1), 9, v) for v in old] + [(D(2024, 2, 1), 9, v) for v in [*reversed(old), "v3"]]
+    df = spark.createDataFrame(data, "d date, id int, name string")
+    assert rows(snapshots.snapshot_changes(df, "d", ["id"], [F.col("name")])) == [(D(2024, 2, 1), i, "changed") for i in range(7)]
+
+
 def test_snapshots_one_shuffle(spark):
     df = spark.createDataFrame([(D(2024, 1, 1), 1, "x"), (D(2024, 2, 1), 1, "y")], "d date, id int, name string")
     plan = snapshots.snapshot_changes(df, "d", ["id"], [F.col("name")])._jdf.queryExecution().executedPlan().toString()
