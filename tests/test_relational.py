@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cratework.functions.hashing import CATALOGUE_DOMAIN
 from cratework.operators import converge, dedupe, slots
-from cratework.plans import ledger, runs
+from cratework.plans import ledger, relational_queries, runs
 
 
 def rows(df):
@@ -148,3 +148,9 @@ def test_dependency_states(spark):
     dumps = spark.createDataFrame([(i, e, d(2024, 1, 1), "ab") for i, e in enumerate("abcdf")] + [(9, "e", d(2024, 5, 1), "x")], "id int, entity_type string, dump_date date, checksum string")
     got = {r["entity_type"]: r["state"] for r in runs.dependency_states(needs, done, dumps).collect()}
     assert got == {"a": "fine", "b": "stale", "c": "reissued", "d": "newer", "e": "no provenance", "f": "missing"}
+
+
+def test_entity_normalise_takes_all_rows(spark, tmp_path):
+    spark.createDataFrame([(1, " Gloss "), (2, "releases"), (3, None), (4, "S")], "doc_id long, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = relational_queries.entity_normalise(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "glos"), (2, "release"), (4, "")]
