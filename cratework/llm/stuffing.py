@@ -1,24 +1,25 @@
 """Keyword-stuffed and link-list pages, from the mutual information of neighbouring words.
 
-Two passes gather corpus statistics over all documents: the document frequency of words, of which the
-``VOCABULARY`` most frequent make the classes (all other words share one), and for each pair of classes the
-number of its neighbouring occurrences and the number of documents that have it. The pair table has
-``CLASSES`` ** 2 cells whatever the corpus, which is the bound of what the driver collects and broadcasts. A
-third pass scores each document by itself:
-
-* mean PMI: a pair counts once a document, so that a page can't vouch for its own word salad; a line whose mean
-  PMI is low and whose words keep coming back is salad, whether or not it has any repeated pair or link; lines with too
-  few pairs to tell are salad if the page as a whole is;
-* burst: occurrences in a document that has the pair (for pairs with a rare word or in less than ``THIN`` of all
-  documents: in this document), those of a document with more than ``SPAN`` neighbours counted per ``SPAN`` of them. A pair that comes back in this document and is bursty in the corpus is an
-  excessively repeated collocation, while the grammar of a language is spread thin over all its pages; so is a
-  pair with ``LIFT`` times its usual burst;
-* lists: repeated pairs with a rare word or in less than ``THIN`` of all documents that come ``LIFT`` times as often as their share of all pairs in the corpus predicts are
-  excessive, however many different ones there are, if ``LISTED_SHARE`` of the page's pairs are such;
-* words of external addresses and their anchors, of tags and short lines with a price, and lines that consist
-  mainly of any of these, or partly, if all their words keep coming back.
-
-The share of words so labelled decides. References, comments and table attributes are no neighbours of words.
+One pass counts every word and every pair of neighbouring words of the whole corpus (occurrences and documents, by
+64-bit hashes, combined batch by batch and shuffled by key), so that no word is left out of the statistics. With
+p(w) and PMI(a, b) from these counts, all taken without the page in question (a page can't vouch for itself),
+
+* a page that has a word a c(a) times should have b after it c(a) * p(b) * exp(PMI(a, b)) times, and likewise from b
+  backward: a pair that comes back ``REPEATS`` times or more, and ``EXCESS`` times as often as the PMI lets expect, is
+  an excessively repeated collocation. The grammar of a language, names and fixed phrases are what PMI expects;
+* a line whose mean PMI is no better than chance and most of whose words come back in the page more often than their
+  frequency explains is incoherent word salad, whether or not any pair is repeated; lines with too few pairs to
+  tell are salad if the page as a whole is;
+* words of external addresses strung together, of product tags and of short lines with a price count by themselves.
+
+The share of words so labelled decides: more than half. References, comments and attributes of markup are no
+neighbours of words.
+
+Only pages that could be stuffed need PMI: where less than half of the words would be labelled even if each repeated
+pair were excessive and each line of recurring words were salad, no statistics can change the verdict (all rules only
+add labels). For the other pages, the candidates, the counts of their words and pairs are joined in: those of keys
+in more than ``HEAD_SHARE`` of the documents from a broadcast table (of at most distinct keys a page / HEAD_SHARE
+entries, whatever the corpus), all others by a shuffled join.
 """
 
 from __future__ import annotations
@@ -28,34 +29,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cratework.llm.words import slices
+from cratework.session import settle
 
-CLASSES = 2048
-VOCABULARY = CLASSES - 1
-RARE = CLASSES - 1
 REPEATS = 3
-BURST = 4.0
-SPAN = 256
-UNIT = 1024
-THIN = 0.001
-LIFT = 5.0
-LIFT_REPEATS = 5
-LISTED_SHARE = 0.4
+EXCESS = 6.0
+# Other documents that a pair must be in for half of its rate to count: a few copies of a page don't vouch for it.
+VOUCHERS = 5.0
+SALAD_PMI = 0.0
+SALAD_PAIRS = 6
+SALAD_SHARE = 0.67
 LINE_SHARE = 0.5
 ECHO_SHARE = 0.3
 ECHO = 0.9
-SALAD_PMI = 1.0
-SALAD_PAIRS = 6
 LINKS = 3
 TAGS = 5
 SHORT_LINE = 16
-# Labels miss a few words of most stuffed lines: this share of labelled words stands for half.
-SPAM_SHARE = 0.45
+SPAM_SHARE = 0.5
+HEAD_SHARE = 0.01
+DOCS, WORDS, PAIRS = 0, 1, 2  # keys of the totals
 
 # Patterns of RE2, which the vectorised string functions use.
 _WORD = r"[\p{L}\p{N}]+"
@@ -96,18 +94,27 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(real), of[_numpy(real)]
 
 
-def _distinct(keys: np.ndarray) -> np.ndarray:
-    keys = np.sort(keys)
-    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+def word_key(word: str) -> int:
+    """The key of a word in the counts: 64 bits, never that of a total."""
+    return max(xxhash.xxh3_64_intdigest(word), PAIRS + 1)
+
+
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The keys of pairs of word keys (order counts): both multiplied by odd numbers, then mixed."""
+    with np.errstate(over="ignore"):
+        x = a * np.uint64(0x9E3779B97F4A7C15) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+        for shift, odd in ((32, 0xD6E8FEB86659FD93), (29, 0xD6E8FEB86659FD93)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return np.maximum(x ^ (x >> np.uint64(32)), np.uint64(PAIRS + 1))
 
 
 class Page:
-    """The words of a batch of texts, flat: class of each word, its line, and for each line what it counts."""
+    """The words of a batch of texts, flat: the place of each word in ``keys``, its line, and for each line what it counts."""
 
-    def __init__(self, texts: pa.Array, classes: pa.Array) -> None:
+    def __init__(self, texts: pa.Array) -> None:
         """Numbers, addresses, tags (where a line strings them together) and attributes are no words, but are counted.
 
-        ``classes`` are the frequent words in order of their class. Null texts have no lines.
+        Null texts have no lines.
         """
         texts = pc.fill_null(texts, "")
         lists = pc.split_pattern_regex(pc.replace_substring_regex(texts, pattern=_DROP, replacement="\n"), pattern=_LINE)
@@ -115,7 +122,7 @@ class Page:
         n = _words_in(lines)
         some = n > 0
         lines, doc, n = lines.filter(pa.array(some)), doc[some], n[some]
-        self.doc, self.n_words = doc, n
+        self.docs, self.doc, self.n_words = len(texts), doc, n
         has = lambda what: _numpy(pc.match_substring(lines, what))
         linked = has("://")
         n_links = np.zeros(len(n), np.int64)
@@ -139,120 +146,76 @@ class Page:
         kept &= ~bare[line]
         coded = words.filter(pa.array(kept)).dictionary_encode()
         self.line = line[kept]
-        place = _numpy(pc.fill_null(pc.index_in(coded.dictionary, value_set=classes), -1)).astype(np.int64)
-        own = np.where(place >= 0, place, RARE + np.cumsum(place < 0) - 1)
-        self.ids = own[_numpy(coded.indices)] if len(coded) else np.zeros(0, np.int64)
-        self.span = RARE + len(place) + 1
+        self.keys = np.array([word_key(w) for w in coded.dictionary.to_pylist()], np.uint64)
+        self.ids = _numpy(coded.indices).astype(np.int64) if len(coded) else np.zeros(0, np.int64)
         self.sizes = np.bincount(self.line, minlength=len(n))
         self.first = np.flatnonzero(self.line[1:] == self.line[:-1])
-
-    def density(self, docs: int) -> np.ndarray:
-        """What an occurrence counts in each text, in parts of UNIT: less in texts of more than SPAN pairs."""
-        pairs = np.bincount(self.doc[self.line[self.first]], minlength=docs)
-        return np.rint(UNIT * np.minimum(1.0, SPAN / np.maximum(pairs, 1))).astype(np.int64)
-
-    def classes_of_pairs(self) -> np.ndarray:
-        c = np.minimum(self.ids, RARE)
-        return c[self.first] * CLASSES + c[self.first + 1]
-
-
-def word_counts(documents: DataFrame, text: str) -> DataFrame:
-    """word, n: in how many documents each word is, counted batch by batch before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            words, doc = split_words(batch.column(0))
-            if not len(words):
-                continue
-            coded = words.dictionary_encode()
-            size = len(coded.dictionary)
-            n = np.bincount(_distinct(doc * size + _numpy(coded.indices)) % size, minlength=size)
-            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n)], names=["word", "n"])
-
-    rows = documents.select(text).filter(F.col(text).isNotNull()).mapInArrow(count, "word string, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def pair_counts(documents: DataFrame, text: str, classes) -> DataFrame:
-    """pair, n (in parts of UNIT), n_docs of all pairs of neighbouring classes; ``classes`` is a broadcast of the frequent words.
-
-    Pair -1 has the number of documents.
+        self.word_doc = self.doc[self.line]
+        self.pair_line = self.line[self.first]
+        self.pair_doc = self.word_doc[self.first]
+        self.a, self.b = self.ids[self.first], self.ids[self.first + 1]
+        # distinct words and pairs of each text, how often it has them, and which of them each word and pair is
+        size = max(len(self.keys), 1)
+        unique = lambda x: np.unique(x, return_inverse=True, return_counts=True)
+        w, self.word_at, self.word_count = unique(self.word_doc * size + self.ids)
+        self.of_word = w % size
+        pairs, at = np.unique(self.a * size + self.b, return_inverse=True)
+        self.pair_a, self.pair_b = pairs // size, pairs % size
+        p, self.pair_at, self.pair_count = unique(self.pair_doc * max(len(pairs), 1) + at)
+        self.of_pair = p % max(len(pairs), 1)
+        self.pair_of_doc = p // max(len(pairs), 1)
+        # where the distinct words of each distinct pair of a text stand among the distinct words of that text
+        self.a_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_a[self.of_pair])
+        self.b_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_b[self.of_pair])
+        self.word_of_doc = w // size
+
+    def pair_keys(self) -> np.ndarray:
+        """The key of each distinct pair of the batch."""
+        return pair_keys(self.keys[self.pair_a], self.keys[self.pair_b])
+
+
+class Counts:
+    """Occurrences and documents of keys, from a sorted table."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, d: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.n, self.d = keys[order], n[order].astype(np.float64), d[order].astype(np.float64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(occurrences, documents, whether the table has the key); 0 where it hasn't."""
+        if not len(self.keys):
+            none = np.zeros(len(keys))
+            return none, none, none > 0
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        return np.where(there, self.n[at], 0), np.where(there, self.d[at], 0), there
+
+
+def corpus_counts(documents: DataFrame, text: str = "text") -> DataFrame:
+    """key, n, d: occurrences and documents of each word and pair of neighbours in more than one document, and the totals.
+
+    Keys are 64-bit hashes (as BIGINT); among 10^12 of them another one's count is met once in 10^7 lookups. What is in
+    one document only needs no row: without that document it is unknown.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(classes.value, pa.string())
-        n, n_docs, docs = np.zeros(CLASSES**2, np.int64), np.zeros(CLASSES**2, np.int64), 0
         for batch in slices(batches, 0):
-            docs += batch.num_rows
-            page = Page(batch.column(0), table)
-            codes = page.classes_of_pairs()
-            if len(codes):
-                doc = page.doc[page.line[page.first]]
-                n += np.bincount(codes, page.density(batch.num_rows)[doc], CLASSES**2).astype(np.int64)
-                once = _distinct(doc * CLASSES**2 + codes) % CLASSES**2
-                n_docs += np.bincount(once, minlength=CLASSES**2)
-        at = np.flatnonzero(n)
-        columns = [np.append(at, -1), np.append(n[at], docs), np.append(n_docs[at], docs)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pair", "n", "n_docs"])
-
-    rows = documents.select(text).filter(F.col(text).isNotNull()).mapInArrow(count, "pair long, n long, n_docs long")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
-
-
-def statistics(documents: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(frequent words, PMI of each pair, burst of each pair), from all documents."""
-    return pair_tables(documents, text)[:3]
-
-
-def pair_tables(documents: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """(frequent words, PMI of each pair, burst of each pair, share of each pair in all pairs), from all documents.
-
-    Pairs never seen have PMI -2; thin pairs have burst 0.
-    """
-    top = word_counts(documents, text).orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word").collect()
-    classes = [r[0] for r in top]
-    sent = documents.sparkSession.sparkContext.broadcast(classes)
-    found = pair_counts(documents, text, sent).toArrow()
-    pmi, burst = np.full(CLASSES**2, -2.0, np.float32), np.zeros(CLASSES**2, np.float32)
-    usual = np.zeros(CLASSES**2, np.float32)
-    at, n, d = (found.column(c).to_numpy() for c in ("pair", "n", "n_docs"))
-    docs, real = n[at < 0].sum(), at >= 0
-    at, n, d = at[real], n[real], d[real].astype(np.float64)
-    if len(at):
-        left = np.bincount(at // CLASSES, d, CLASSES)
-        right = np.bincount(at % CLASSES, d, CLASSES)
-        pmi[at] = np.log(d * d.sum() / (left[at // CLASSES] * right[at % CLASSES]))
-        burst[at] = np.where(d < THIN * docs, 0, n / UNIT / d)
-        usual[at] = n / n.sum()
-    return classes, pmi, burst, usual
-
-
-def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray, usual: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text: its words, the words labelled as spam, the mean PMI of its neighbours (NaN if it has none)."""
-    docs = len(texts)
-    total = _words_in(pc.fill_null(texts, ""))
-    page = Page(texts, classes)
-    lines = len(page.sizes)
-    if not lines:
-        return total, np.zeros(docs, np.int64), np.full(docs, np.nan)
-    codes = page.classes_of_pairs()
-    values = pmi[codes].astype(np.float64)
-    pair_line = page.line[page.first]
-    pair_doc = page.doc[pair_line]
-    n_pairs = np.bincount(pair_doc, minlength=docs)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = np.bincount(pair_doc, values, docs) / n_pairs
-    rare = (codes % CLASSES == RARE) | (codes // CLASSES == RARE)
-    a, b = page.ids[page.first], page.ids[page.first + 1]
-    _, back, counts = np.unique((pair_doc * page.span + a) * page.span + b, return_inverse=True, return_counts=True)
-    here = counts[back]
-    own = here * page.density(docs)[pair_doc] / UNIT
-    lifted = (here >= LIFT_REPEATS) & (own >= LIFT * np.maximum(burst[codes], 1))
-    excess = lifted | (here >= REPEATS) & (np.where(rare | (burst[codes] == 0), own, burst[codes]) >= BURST)
-    # a list of many different keywords: none has a large share of the page, but together they have
-    listed = (rare | (burst[codes] == 0)) & (here >= REPEATS) & (here >= LIFT * n_pairs[pair_doc] * np.where(rare, 0, usual[codes]))
-    lists = np.bincount(pair_doc, listed, docs) >= LISTED_SHARE * np.maximum(n_pairs, 1)
-    excess |= listed & lists[pair_doc]
+            page = Page(batch.column(0))
+            sizes = (len(page.keys), len(page.pair_a))
+            n = [np.bincount(at, weights, size) for at, weights, size in zip((page.of_word, page.of_pair), (page.word_count, page.pair_count), sizes)]
+            d = [np.bincount(at, minlength=size) for at, size in zip((page.of_word, page.of_pair), sizes)]
+            totals = [batch.num_rows, len(page.ids), len(page.first)]
+            keys = np.concatenate([np.array([DOCS, WORDS, PAIRS], np.uint64), page.keys, page.pair_keys()]).view(np.int64)
+            columns = [keys, np.concatenate([totals, *n]).astype(np.int64), np.concatenate([[2, 2, 2], *d]).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "n", "d"])
+
+    rows = documents.select(text).filter(F.col(text).isNotNull()).mapInArrow(count, "key long, n long, d long")
+    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).filter("d > 1")
+
+
+def _labels(page: Page, excess: np.ndarray, salad: np.ndarray) -> np.ndarray:
+    """The labelled words of each text, given which pair occurrences are excessive and which lines are salad. Monotone in both."""
+    docs, lines = page.docs, len(page.sizes)
     mark = np.zeros(len(page.ids), bool)
     mark[page.first[excess]] = True
     mark[page.first[excess] + 1] = True
@@ -260,17 +223,9 @@ def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray
     hits = np.bincount(page.line, mark, lines).astype(np.int64) + np.where(linked, page.link_words, 0)
     size = page.sizes + page.link_words
     spam = (size > 0) & (hits >= LINE_SHARE * size)
-    word_doc = page.doc[page.line]
-    _, back, counts = np.unique(word_doc * page.span + page.ids, return_inverse=True, return_counts=True)
-    returning = np.bincount(page.line, counts[back] >= REPEATS, lines)
+    returning = np.bincount(page.line, page.word_count[page.word_at] >= REPEATS, lines)
     spam |= (hits >= ECHO_SHARE * size) & (returning >= ECHO * page.sizes) & (size > 0)
-    known = np.bincount(pair_line, ~rare, lines)
-    coherence = np.bincount(pair_line, np.where(rare, 0, values), lines)
-    spam |= (known >= SALAD_PAIRS) & (coherence < SALAD_PMI * known) & (2 * returning > page.sizes)
-    # lines too short to be judged alone, on a page that is salad as a whole
-    of_page = lambda x: np.bincount(page.doc, x, docs)
-    salad = (of_page(known) >= SALAD_PAIRS) & (of_page(coherence) < SALAD_PMI * of_page(known)) & (2 * of_page(returning) > of_page(page.sizes))
-    spam |= salad[page.doc] & (known < SALAD_PAIRS) & (page.sizes > 0)
+    spam |= salad
     between = np.zeros(lines, bool)
     if lines > 2:
         same = (page.doc[:-2] == page.doc[1:-1]) & (page.doc[2:] == page.doc[1:-1])
@@ -278,13 +233,110 @@ def score(texts: pa.Array, classes: pa.Array, pmi: np.ndarray, burst: np.ndarray
     # numbers go with the words around them
     part = np.rint(hits * page.n_words / np.maximum(size, 1)).astype(np.int64)
     labelled = np.where(spam | between, page.n_words, np.minimum(part, page.n_words))
-    return total, np.minimum(np.bincount(page.doc, labelled, docs).astype(np.int64), total), mean
+    return np.bincount(page.doc, labelled, docs).astype(np.int64)
+
+
+def _returning(page: Page, lifted: np.ndarray) -> np.ndarray:
+    """Whether ``SALAD_SHARE`` of the words of each line are of the ``lifted`` distinct words."""
+    return np.bincount(page.line, lifted[page.word_at], len(page.sizes)) > SALAD_SHARE * page.sizes
+
+
+def needed_keys(texts: pa.Array, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of the distinct words and pairs of each text that aren't in the sorted ``head``."""
+    page = Page(texts)
+    of = np.concatenate([page.word_of_doc, page.pair_of_doc])
+    keys = np.concatenate([page.keys[page.of_word], page.pair_keys()[page.of_pair]])
+    rest = np.ones(len(keys), bool) if not len(head) else head[np.minimum(np.searchsorted(head, keys), len(head) - 1)] != keys
+    return of[rest], keys[rest]
+
+
+def score(texts: pa.Array, tables: list[Counts], docs: float, pairs: float, bound: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text: its words, the words labelled as spam, the mean PMI of its neighbours (NaN if none is known elsewhere).
+
+    ``tables`` together hold the counts of all words and pairs of the texts that are in more than one document; with
+    ``bound``, a key that they lack may have any counts, and the labelled words are the most that there can be.
+    """
+    total = _words_in(pc.fill_null(texts, ""))
+    page = Page(texts)
+    lines = len(page.sizes)
+    if not lines:
+        return total, np.zeros(page.docs, np.int64), np.full(page.docs, np.nan)
+
+    def counts(keys: np.ndarray, here: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Occurrences and documents without the page, of each distinct word or pair of each text, and whether they are open."""
+        n, d, found = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), bool)
+        for t in tables:
+            tn, td, there = t.get(keys)
+            n, d, found = np.where(there, tn, n), np.where(there, td, d), found | there
+        return np.maximum(n[which] - here, 0), np.maximum(d[which] - 1, 0), ~found[which] & bound
+
+    here, own = page.pair_count, page.word_count
+    word_n, word_d, word_open = counts(page.keys, own, page.of_word)
+    pair_n, pair_d, pair_open = counts(page.pair_keys(), here, page.of_pair)
+    a, b = page.a_at, page.b_at
+    pair_open |= word_open[a] | word_open[b]
+    n_pairs = np.bincount(page.pair_doc, minlength=page.docs)[page.pair_of_doc]
+    rate = np.maximum(np.maximum(own[a] / np.maximum(word_n[a], 1), own[b] / np.maximum(word_n[b], 1)), n_pairs / max(pairs, 1))
+    expected = rate * pair_d * pair_d / (pair_d + VOUCHERS)
+    excess = (here >= REPEATS) & (pair_open | (here >= EXCESS * expected))
+
+    known = (word_d[a] > 0) & (word_d[b] > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pmi = np.where(known, np.log((pair_d + 0.1) * docs / ((word_d[a] + 0.1) * (word_d[b] + 0.1))), 0.0)
+        known, pmi = known | pair_open, np.where(pair_open, -1e9, pmi)
+        n_known = np.bincount(page.pair_doc, known[page.pair_at], page.docs)
+        total_pmi = np.bincount(page.pair_doc, pmi[page.pair_at], page.docs)
+        mean = np.where(n_known > 0, total_pmi / n_known, np.nan)
+    n_words = np.bincount(page.word_doc, minlength=page.docs)[page.word_of_doc]
+    lifted = (own >= REPEATS) & (word_open | (own >= EXCESS * n_words * word_n / max(pairs, 1)))
+    line_known, line_pmi = np.bincount(page.pair_line, known[page.pair_at], lines), np.bincount(page.pair_line, pmi[page.pair_at], lines)
+    salad = (line_known >= SALAD_PAIRS) & (line_pmi < SALAD_PMI * line_known) & _returning(page, lifted)
+    # lines too short to be judged alone, on a page that is salad as a whole
+    most = np.bincount(page.word_doc, lifted[page.word_at], page.docs) > SALAD_SHARE * np.bincount(page.doc, page.sizes, page.docs)
+    whole = (n_known >= SALAD_PAIRS) & (total_pmi < SALAD_PMI * n_known) & most
+    few = (line_known < SALAD_PAIRS) | (np.bincount(page.pair_line, pair_open[page.pair_at], lines) > 0)
+    salad |= whole[page.doc] & few & (page.sizes > 0)
+    return total, np.minimum(_labels(page, excess[page.pair_at], salad), total), mean
 
 
 def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text", share: float = SPAM_SHARE) -> DataFrame:
-    """doc, n_words, spam_words, mean_pmi, is_spam for every document (null text: no words, no spam, null PMI)."""
+    """doc, n_words, spam_words, mean_pmi, is_spam of every document.
+
+    spam_words and mean_pmi are null for the documents that can't be stuffed, whatever the statistics (at most
+    ``share`` of their words could be labelled), null and empty texts among them; mean_pmi is null as well where no
+    other document has both words of any pair. Repeated document rows give repeated results.
+    """
     spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast(pair_tables(documents, text))
+    counts = settle(corpus_counts(documents, text))
+    totals = {r["key"]: r["n"] for r in counts.filter(F.col("key").isin(DOCS, WORDS, PAIRS)).collect()}
+    n_docs, n_pairs = float(totals.get(DOCS, 0)), float(totals.get(PAIRS, 0))
+    real = counts.filter(~F.col("key").isin(DOCS, WORDS, PAIRS))
+    often = real.filter(F.col("d") > F.lit(HEAD_SHARE * n_docs)).toArrow()  # at most distinct keys a page / HEAD_SHARE rows
+    table = Counts(*(often.column(c).to_numpy().view(k) for c, k in (("key", np.uint64), ("n", np.int64), ("d", np.int64))))
+    sent = spark.sparkContext.broadcast((table.keys, table.n, table.d))
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = Counts(*sent.value)
+        for batch in slices(batches, 1):
+            total, most, _ = score(batch.column(1), [head], n_docs, n_pairs, bound=True)
+            text = pc.if_else(pa.array(most > share * total), batch.column(1), pa.scalar(None, batch.schema.field(1).type))
+            yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(total)], names=["doc", "text", "n_words"])
+
+    named = documents.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    first = T.StructType([named.schema["doc"], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType())])
+    seen = settle(named.mapInArrow(possible, first))  # with the texts of candidates only
+    candidates = seen.filter(F.col("text").isNotNull()).withColumn("page", F.unhex(F.md5("text")))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = sent.value[0]
+        for batch in slices(batches, 1):
+            of, keys = needed_keys(batch.column(1), head)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(keys.view(np.int64))], names=["page", "key"])
+
+    asked = candidates.select("page", "text").mapInArrow(ask, "page binary, key long").distinct()
+    answers = asked.join(real.filter(F.col("d") <= F.lit(HEAD_SHARE * n_docs)), "key").groupBy("page").agg(
+        F.collect_list("key").alias("keys"), F.collect_list("n").alias("ns"), F.collect_list("d").alias("ds")
+    )  # the words and pairs of one text
     key_type = documents.schema[doc].dataType
     schema = T.StructType([
         T.StructField(doc, key_type), T.StructField("n_words", T.LongType()), T.StructField("spam_words", T.LongType()),
@@ -292,14 +344,18 @@ def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text",
     ])
     arrow = to_arrow_type(key_type)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pmi, burst, usual = sent.value
-        classes = pa.array(words, pa.string())
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = Counts(*sent.value)
         for batch in slices(batches, 1):
-            total, spam, mean = score(batch.column(1), classes, pmi, burst, usual)
+            flat = [_numpy(pc.list_flatten(batch.column(i))) for i in (2, 3, 4)]
+            keys, at = np.unique(flat[0].astype(np.int64).view(np.uint64), return_index=True)
+            own = Counts(keys, flat[1][at], flat[2][at])
+            total, spam, mean = score(batch.column(1), [head, own], n_docs, n_pairs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow), pa.array(total), pa.array(spam), pa.array(mean, from_pandas=True), pa.array(spam > share * total)],
                 names=schema.names,
             )
 
-    return documents.select(doc, text).mapInArrow(run, schema)
+    judged = candidates.join(answers, "page", "left").select("doc", "text", "keys", "ns", "ds").mapInArrow(judge, schema)
+    clean = seen.filter(F.col("text").isNull())
+    return judged.unionAll(clean.select("doc", "n_words", *[F.lit(None).cast(schema[c].dataType) for c in ("spam_words", "mean_pmi")], F.lit(False)))

@@ -88,19 +88,41 @@ def test_empty_table(spark):
 
 
 def test_statistics_by_brute_force(spark):
-    texts = ["a b a b c", "a b\nc a", "1 a 2 b", None, "C a"]
+    texts = ["a b a b c", "a b\nc a", "1 a 2 b", None, "C a", "d"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    frequent, pmi, burst = stuffing.statistics(df)
-    assert sorted(frequent) == ["1", "2", "a", "b", "c"]
-    c = {w: i for i, w in enumerate(frequent)}
-    at = lambda x, y: c[x] * stuffing.CLASSES + c[y]
-    docs_of = {("a", "b"): 3, ("b", "a"): 1, ("b", "c"): 1, ("c", "a"): 2}
-    total = sum(docs_of.values())
-    for (x, y), d in docs_of.items():
-        left = sum(v for k, v in docs_of.items() if k[0] == x)
-        right = sum(v for k, v in docs_of.items() if k[1] == y)
-        assert np.isclose(pmi[at(x, y)], np.log(d * total / (left * right)), atol=1e-5)
-    assert np.isclose(burst[at("a", "b")], 4 / 3) and pmi[at("c", "c")] == -2
+    got = {r["key"]: (r["n"], r["d"]) for r in stuffing.corpus_counts(df).collect()}
+    assert got.pop(stuffing.DOCS)[0] == 5 and got.pop(stuffing.WORDS)[0] == 14 and got.pop(stuffing.PAIRS)[0] == 8
+    key = {w: np.array([stuffing.word_key(w)], np.uint64) for w in "abc"}
+    pair = lambda x, y: int(stuffing.pair_keys(key[x], key[y]).view(np.int64)[0])
+    one = lambda x: int(key[x].view(np.int64)[0])
+    # occurrences and documents of what is in more than one document; numbers are no words, lines part neighbours
+    assert got == {one("a"): (6, 4), one("b"): (4, 3), one("c"): (3, 3), pair("a", "b"): (4, 3), pair("c", "a"): (2, 2)}
+
+
+def test_candidates_lose_no_page(spark):
+    """With only the head known, the bound is never below the labels that all counts give."""
+    texts = pa.array([r[1] for r in corpus()])
+    df = spark.createDataFrame([r[:2] for r in corpus()], "doc_id long, text string")
+    rows = stuffing.corpus_counts(df).toArrow()
+    k, n, d = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy(), rows.column("d").to_numpy()
+    docs, pairs = float(n[k == stuffing.DOCS][0]), float(n[k == stuffing.PAIRS][0])
+    exact = stuffing.score(texts, [stuffing.Counts(k, n, d)], docs, pairs)[1]
+    for least in (1, 5, 40, 10**9):
+        head = stuffing.Counts(k[d > least], n[d > least], d[d > least])
+        most = stuffing.score(texts, [head], docs, pairs, bound=True)[1]
+        assert (most >= exact).all()
+
+
+def test_pmi_decides(spark, monkeypatch):
+    """Without the expectation that PMI gives, pages of ordinary repeated phrases are flagged."""
+    rng = random.Random(3)
+    rows = [(i, article(rng, 40)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert not [r for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]]
+    texts = pa.array([r[1] for r in rows])
+    nothing = stuffing.Counts(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+    total, spam, _ = stuffing.score(texts, [nothing], 200.0, 1e5)
+    assert (spam > stuffing.SPAM_SHARE * total).mean() > 0.5
 
 
 def test_slices():
