@@ -7,9 +7,8 @@ p(w) and PMI(a, b) from these counts, all taken without the page in question (a
 * a page that has a word a c(a) times should have b after it c(a) * p(b) * exp(PMI(a, b)) times, and likewise from b
   backward: a pair that comes back ``REPEATS`` times or more, and ``EXCESS`` times as often as the PMI lets expect, is
   an excessively repeated collocation. The grammar of a language, names and fixed phrases are what PMI expects;
-* a line whose mean PMI is no better than chance and most of whose words come back in the page more often than their
-  frequency explains is incoherent word salad, whether or not any pair is repeated; lines with too few pairs to
-  tell are salad if the page as a whole is;
+* a line whose mean PMI is no better than chance and most of whose words come back in the page is incoherent word
+  salad, whether or not any pair is repeated; lines with too few pairs to tell are salad if the page as a whole is;
 * words of external addresses strung together, of product tags and of short lines with a price count by themselves.
 
 The share of words so labelled decides: more than half. References, comments and attributes of markup are no
@@ -39,9 +38,11 @@ from cratework.llm.words import slices
 from cratework.session import settle
 
 REPEATS = 3
-EXCESS = 6.0
+EXCESS = 4.0
 # Other documents that a pair must be in for half of its rate to count: a few copies of a page don't vouch for it.
 VOUCHERS = 5.0
+# A page vouches for a pair with at most this part of its pairs (once at least): stuffing doesn't vouch for stuffing.
+VOUCHED_PART = 64
 SALAD_PMI = 0.0
 SALAD_PAIRS = 6
 SALAD_SHARE = 0.67
@@ -168,6 +169,8 @@ class Page:
         self.a_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_a[self.of_pair])
         self.b_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_b[self.of_pair])
         self.word_of_doc = w // size
+        self.n_pairs = np.bincount(self.pair_doc, minlength=self.docs)
+        self.vouched = np.minimum(self.pair_count, np.maximum(self.n_pairs // VOUCHED_PART, 1)[self.pair_of_doc])
 
     def pair_keys(self) -> np.ndarray:
         """The key of each distinct pair of the batch."""
@@ -194,6 +197,8 @@ class Counts:
 def corpus_counts(documents: DataFrame, text: str = "text") -> DataFrame:
     """key, n, d: occurrences and documents of each word and pair of neighbours in more than one document, and the totals.
 
+    Of a pair, a document counts at most 1 / VOUCHED_PART of its neighbours, or one.
+
     Keys are 64-bit hashes (as BIGINT); among 10^12 of them another one's count is met once in 10^7 lookups. What is in
     one document only needs no row: without that document it is unknown.
     """
@@ -202,7 +207,7 @@ def corpus_counts(documents: DataFrame, text: str = "text") -> DataFrame:
         for batch in slices(batches, 0):
             page = Page(batch.column(0))
             sizes = (len(page.keys), len(page.pair_a))
-            n = [np.bincount(at, weights, size) for at, weights, size in zip((page.of_word, page.of_pair), (page.word_count, page.pair_count), sizes)]
+            n = [np.bincount(at, weights, size) for at, weights, size in zip((page.of_word, page.of_pair), (page.word_count, page.vouched), sizes)]
             d = [np.bincount(at, minlength=size) for at, size in zip((page.of_word, page.of_pair), sizes)]
             totals = [batch.num_rows, len(page.ids), len(page.first)]
             keys = np.concatenate([np.array([DOCS, WORDS, PAIRS], np.uint64), page.keys, page.pair_keys()]).view(np.int64)
@@ -236,9 +241,9 @@ def _labels(page: Page, excess: np.ndarray, salad: np.ndarray) -> np.ndarray:
     return np.bincount(page.doc, labelled, docs).astype(np.int64)
 
 
-def _returning(page: Page, lifted: np.ndarray) -> np.ndarray:
-    """Whether ``SALAD_SHARE`` of the words of each line are of the ``lifted`` distinct words."""
-    return np.bincount(page.line, lifted[page.word_at], len(page.sizes)) > SALAD_SHARE * page.sizes
+def _returning(page: Page, back: np.ndarray) -> np.ndarray:
+    """Whether ``SALAD_SHARE`` of the words of each line are of the distinct words in ``back``."""
+    return np.bincount(page.line, back[page.word_at], len(page.sizes)) > SALAD_SHARE * page.sizes
 
 
 def needed_keys(texts: pa.Array, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +255,7 @@ def needed_keys(texts: pa.Array, head: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return of[rest], keys[rest]
 
 
-def score(texts: pa.Array, tables: list[Counts], docs: float, pairs: float, bound: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def score(texts: pa.Array, tables: list[Counts], pairs: float, bound: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each text: its words, the words labelled as spam, the mean PMI of its neighbours (NaN if none is known elsewhere).
 
     ``tables`` together hold the counts of all words and pairs of the texts that are in more than one document; with
@@ -272,27 +277,25 @@ def score(texts: pa.Array, tables: list[Counts], docs: float, pairs: float, boun
 
     here, own = page.pair_count, page.word_count
     word_n, word_d, word_open = counts(page.keys, own, page.of_word)
-    pair_n, pair_d, pair_open = counts(page.pair_keys(), here, page.of_pair)
+    pair_n, pair_d, pair_open = counts(page.pair_keys(), page.vouched, page.of_pair)
     a, b = page.a_at, page.b_at
     pair_open |= word_open[a] | word_open[b]
-    n_pairs = np.bincount(page.pair_doc, minlength=page.docs)[page.pair_of_doc]
-    rate = np.maximum(np.maximum(own[a] / np.maximum(word_n[a], 1), own[b] / np.maximum(word_n[b], 1)), n_pairs / max(pairs, 1))
-    expected = rate * pair_d * pair_d / (pair_d + VOUCHERS)
+    rate = np.maximum(np.maximum(own[a] / np.maximum(word_n[a], 1), own[b] / np.maximum(word_n[b], 1)), page.n_pairs[page.pair_of_doc] / max(pairs, 1))
+    expected = rate * pair_n * pair_d / (pair_d + VOUCHERS)
     excess = (here >= REPEATS) & (pair_open | (here >= EXCESS * expected))
 
     known = (word_d[a] > 0) & (word_d[b] > 0)
     with np.errstate(divide="ignore", invalid="ignore"):
-        pmi = np.where(known, np.log((pair_d + 0.1) * docs / ((word_d[a] + 0.1) * (word_d[b] + 0.1))), 0.0)
+        pmi = np.where(known, np.log((pair_n + 0.1) * max(pairs, 1) / ((word_n[a] + 0.1) * (word_n[b] + 0.1))), 0.0)
         known, pmi = known | pair_open, np.where(pair_open, -1e9, pmi)
         n_known = np.bincount(page.pair_doc, known[page.pair_at], page.docs)
         total_pmi = np.bincount(page.pair_doc, pmi[page.pair_at], page.docs)
         mean = np.where(n_known > 0, total_pmi / n_known, np.nan)
-    n_words = np.bincount(page.word_doc, minlength=page.docs)[page.word_of_doc]
-    lifted = (own >= REPEATS) & (word_open | (own >= EXCESS * n_words * word_n / max(pairs, 1)))
+    back = own >= REPEATS
     line_known, line_pmi = np.bincount(page.pair_line, known[page.pair_at], lines), np.bincount(page.pair_line, pmi[page.pair_at], lines)
-    salad = (line_known >= SALAD_PAIRS) & (line_pmi < SALAD_PMI * line_known) & _returning(page, lifted)
+    salad = (line_known >= SALAD_PAIRS) & (line_pmi < SALAD_PMI * line_known) & _returning(page, back)
     # lines too short to be judged alone, on a page that is salad as a whole
-    most = np.bincount(page.word_doc, lifted[page.word_at], page.docs) > SALAD_SHARE * np.bincount(page.doc, page.sizes, page.docs)
+    most = np.bincount(page.word_doc, back[page.word_at], page.docs) > SALAD_SHARE * np.bincount(page.doc, page.sizes, page.docs)
     whole = (n_known >= SALAD_PAIRS) & (total_pmi < SALAD_PMI * n_known) & most
     few = (line_known < SALAD_PAIRS) | (np.bincount(page.pair_line, pair_open[page.pair_at], lines) > 0)
     salad |= whole[page.doc] & few & (page.sizes > 0)
@@ -318,7 +321,7 @@ def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text",
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = Counts(*sent.value)
         for batch in slices(batches, 1):
-            total, most, _ = score(batch.column(1), [head], n_docs, n_pairs, bound=True)
+            total, most, _ = score(batch.column(1), [head], n_pairs, bound=True)
             text = pc.if_else(pa.array(most > share * total), batch.column(1), pa.scalar(None, batch.schema.field(1).type))
             yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(total)], names=["doc", "text", "n_words"])
 
@@ -350,7 +353,7 @@ def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text",
             flat = [_numpy(pc.list_flatten(batch.column(i))) for i in (2, 3, 4)]
             keys, at = np.unique(flat[0].astype(np.int64).view(np.uint64), return_index=True)
             own = Counts(keys, flat[1][at], flat[2][at])
-            total, spam, mean = score(batch.column(1), [head, own], n_docs, n_pairs)
+            total, spam, mean = score(batch.column(1), [head, own], n_pairs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow), pa.array(total), pa.array(spam), pa.array(mean, from_pandas=True), pa.array(spam > share * total)],
                 names=schema.names,

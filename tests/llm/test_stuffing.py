@@ -95,8 +95,8 @@ def test_statistics_by_brute_force(spark):
     key = {w: np.array([stuffing.word_key(w)], np.uint64) for w in "abc"}
     pair = lambda x, y: int(stuffing.pair_keys(key[x], key[y]).view(np.int64)[0])
     one = lambda x: int(key[x].view(np.int64)[0])
-    # occurrences and documents of what is in more than one document; numbers are no words, lines part neighbours
-    assert got == {one("a"): (6, 4), one("b"): (4, 3), one("c"): (3, 3), pair("a", "b"): (4, 3), pair("c", "a"): (2, 2)}
+    # what is in more than one document; numbers are no words, lines part neighbours, a short page counts a pair once
+    assert got == {one("a"): (6, 4), one("b"): (4, 3), one("c"): (3, 3), pair("a", "b"): (3, 3), pair("c", "a"): (2, 2)}
 
 
 def test_candidates_lose_no_page(spark):
@@ -105,15 +105,15 @@ def test_candidates_lose_no_page(spark):
     df = spark.createDataFrame([r[:2] for r in corpus()], "doc_id long, text string")
     rows = stuffing.corpus_counts(df).toArrow()
     k, n, d = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy(), rows.column("d").to_numpy()
-    docs, pairs = float(n[k == stuffing.DOCS][0]), float(n[k == stuffing.PAIRS][0])
-    exact = stuffing.score(texts, [stuffing.Counts(k, n, d)], docs, pairs)[1]
+    pairs = float(n[k == stuffing.PAIRS][0])
+    exact = stuffing.score(texts, [stuffing.Counts(k, n, d)], pairs)[1]
     for least in (1, 5, 40, 10**9):
         head = stuffing.Counts(k[d > least], n[d > least], d[d > least])
-        most = stuffing.score(texts, [head], docs, pairs, bound=True)[1]
+        most = stuffing.score(texts, [head], pairs, bound=True)[1]
         assert (most >= exact).all()
 
 
-def test_pmi_decides(spark, monkeypatch):
+def test_pmi_decides(spark):
     """Without the expectation that PMI gives, pages of ordinary repeated phrases are flagged."""
     rng = random.Random(3)
     rows = [(i, article(rng, 40)) for i in range(200)]
@@ -121,7 +121,7 @@ def test_pmi_decides(spark, monkeypatch):
     assert not [r for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]]
     texts = pa.array([r[1] for r in rows])
     nothing = stuffing.Counts(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    total, spam, _ = stuffing.score(texts, [nothing], 200.0, 1e5)
+    total, spam, _ = stuffing.score(texts, [nothing], 1e5)
     assert (spam > stuffing.SPAM_SHARE * total).mean() > 0.5
 
 
