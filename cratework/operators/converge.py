@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratework.operators.dedupe import newest_per_group
+from cratework.operators.skew import fresh, salted_join
 
 
 def _match(left: DataFrame, right: DataFrame, columns: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -99,16 +100,20 @@ def existing_roots(tables: Sequence[tuple[str, DataFrame, str]], roots: DataFram
 
 
 def keep_known(df: DataFrame, column: str, known: DataFrame, known_id: str = "id") -> DataFrame:
-    """Rows whose id is known; null ids and ids below 1 never are."""
+    """Rows whose id is known; null ids and ids below 1 never are. Hot ids are salted."""
     ids = known.select(F.col(known_id).alias(column)).filter(F.col(column) >= 1).distinct()
-    return df.join(ids, column, "left_semi").select(*df.columns)
+    return salted_join(df.filter(F.col(column) >= 1), ids, [column], "left_semi").select(*df.columns)
 
 
 def null_unknown(df: DataFrame, column: str, known: DataFrame, known_id: str = "id") -> DataFrame:
-    """The row is kept, an unknown id becomes null."""
-    ids = known.select(F.col(known_id).alias("__known")).filter(F.col("__known") >= 1).distinct()
-    joined = df.join(ids, F.col(column) == F.col("__known"), "left")
-    return joined.select(*[F.col("__known").alias(c) if c == column else F.col(c) for c in df.columns])
+    """The row is kept, an unknown id becomes null. Hot ids are salted; rows without an id take part in no join."""
+    seen = fresh("known")
+    ids = known.select(F.col(known_id).alias(column)).filter(F.col(column) >= 1).distinct().withColumn(seen, F.lit(True))
+    joined = salted_join(df.filter(F.col(column) >= 1), ids, [column], "left")
+    rest = df.filter(F.coalesce(F.col(column) < 1, F.lit(True)))
+    none = F.lit(None).cast(df.schema[column].dataType)
+    pick = lambda x, value: x.select(*[value.alias(c) if c == column else F.col(c) for c in df.columns])
+    return pick(joined, F.when(F.col(seen), F.col(column))).unionAll(pick(rest, none))
 
 
 def latest_backlinks(children: DataFrame, parent: str, child: str, order: Sequence[Column], eligible: Column) -> DataFrame:

@@ -90,25 +90,22 @@ def audit_duplicates(raw: DataFrame, kept: DataFrame, by: Sequence[str] = ()) ->
     return counts.withColumn("duplicates", F.col("rows_in") - F.col("rows_out"))
 
 
-def not_increasing(df: DataFrame, position: str, value: str, buckets: str | Column | None = None) -> DataFrame:
-    """The rows whose ``value`` isn't greater than the one before them by ``position`` (within ``buckets``, if given).
+def not_increasing(df: DataFrame, position: str, value: str) -> DataFrame:
+    """The rows whose ``value`` isn't greater than the one before them by ``position``.
 
-    A bucket (say a file or a block of positions, in their order) bounds what one task sorts; without it the rows
-    are range-partitioned by position. The first row of a bucket is held against the last value before the bucket,
-    so the answer doesn't depend on the buckets. Positions are unique; nulls in ``value`` are never reported.
+    Rows are range-partitioned by position, as many ranges as there are shuffle partitions, which bounds both what one
+    task sorts and the table of the ranges' last values that the first row of each range is held against. Positions are
+    unique; nulls in ``value`` are never reported.
     """
-    b = fresh("b")
-    if buckets is None:
-        rows = settle(df.repartitionByRange(F.col(position)).withColumn(b, F.spark_partition_id()))
-    else:
-        rows = df.withColumn(b, buckets if isinstance(buckets, Column) else F.col(buckets))
-    ends = rows.groupBy(b).agg(F.max_by(value, position).alias("__last"))
-    ahead = ends.select(F.col(b), F.lag("__last").over(W.orderBy(b)).alias("__ahead"))
-    w = W.partitionBy(b).orderBy(position)
+    b, w = fresh("b"), W.partitionBy("__b").orderBy(position)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = settle(df.repartitionByRange(parts, F.col(position)).withColumn("__b", F.spark_partition_id()))
+    ends = rows.groupBy("__b").agg(F.max_by(value, position).alias("__last"))
+    ahead = ends.select(F.col("__b").alias(b), F.lag("__last").over(W.orderBy("__b")).alias("__ahead"))  # a row a range
     inner = rows.withColumn("__prev", F.lag(value).over(w)).withColumn("__head", F.row_number().over(w) == 1)
-    joined = inner.join(F.broadcast(ahead), b, "left")  # a row a bucket
+    joined = inner.join(F.broadcast(ahead), F.col("__b") == F.col(b), "left")
     previous = F.when(F.col("__head"), F.col("__ahead")).otherwise(F.col("__prev"))
-    return joined.withColumn("previous", previous).filter(F.col("previous") >= F.col(value)).drop(b, "__prev", "__head", "__ahead")
+    return joined.withColumn("previous", previous).filter(F.col("previous") >= F.col(value)).drop("__b", b, "__prev", "__head", "__ahead")
 
 
 def union_counts(parts: Sequence[tuple[str, DataFrame]]) -> DataFrame:

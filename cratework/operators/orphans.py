@@ -31,8 +31,8 @@ def orphan_references(
     ``required`` hold in every mask: rows with a null there are skipped.
 
     Each mask works on distinct keys first (combined map-side), both sides of the anti-join are unique by then,
-    and only the orphan keys are joined back to the rows, hot keys salted; a key that holds a third of all
-    references costs no more than others. Repeated reference rows stay repeated. Empty targets make every
+    and only the orphan keys are joined back to the rows, hot keys (by the counts of the first step) salted; a key
+    that holds a third of all references costs no more than others. Repeated reference rows stay repeated. Empty targets make every
     looked-up reference an orphan; empty refs give no rows.
     """
     if match not in MATCHES:
@@ -53,10 +53,11 @@ def orphan_references(
             parts.append(here)
             continue
         on = [c for null, c in zip(mask, cols) if not null]
-        wanted = here.select(*on).distinct()
+        n = fresh("n")
+        wanted = here.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
         there = renamed.select(*on).dropna().distinct()
         missing = wanted.join(there, on, "left_anti")
-        parts.append(salted_join(here, missing, on, "left_semi").select(*refs.columns))
+        parts.append(salted_join(here, missing.select(*on), on, "left_semi", counts=missing).select(*refs.columns))
     return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0)
 
 
