@@ -1,14 +1,28 @@
-"""Queries p7-p9 over the documents, with SQL where it can express them on whole tables."""
+"""Queries p4 and p7-p9, with SQL where it can express them on whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratework.llm import leakage, mixing, stuffing
+from cratework.llm import format_duplicates, leakage, mixing, stuffing
 from cratework.session import table
 
 
+def _p4_fields() -> dict:
+    return {"urls": F.col("urls.url"), "names": F.col("namevariations.name")}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "artist_xml").select("record_id", "urls", "namevariations")
+    return format_duplicates.copies_of(rows, _p4_fields(), "record_id").distinct()
+
+
+def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "artist_xml").select("record_id", "urls", "namevariations")
+    return format_duplicates.collapse(rows, _p4_fields(), "record_id").select("first_record", "copies")
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
@@ -59,6 +73,8 @@ def p9_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p4_found": p4_found,
+    "p4_collapsed": p4_collapsed,
     "p7_found": p7_found,
     "p7_items": p7_items,
     "p8_found": p8_found,
@@ -68,6 +84,10 @@ QUERIES = {
     "p9_pages": p9_pages,
 }
 
+_P4 = """WITH k AS (SELECT record_id,
+    list_sort(list_distinct(list_filter(list_transform(coalesce(urls.url, []), lambda x: regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g')), lambda x: x <> '')))::VARCHAR AS u,
+    list_sort(list_distinct(list_filter(list_transform(coalesce(namevariations.name, []), lambda x: regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g')), lambda x: x <> '')))::VARCHAR AS n FROM artist_xml),
+  g AS (SELECT record_id, min(record_id) OVER (PARTITION BY u, n) AS first, count(*) OVER (PARTITION BY u, n) AS copies FROM k WHERE u <> '[]' OR n <> '[]')"""
 _P7 = """WITH grams AS (
     SELECT doc_id, list_slice(w, i, i + 11) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i
       FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents) WHERE len(w) >= 12)),
@@ -76,4 +96,8 @@ _P7 = """WITH grams AS (
       FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_item) WHERE len(w) >= 12))
   SELECT DISTINCT doc_id, item_id FROM grams JOIN items USING (g)"""
 
-ORACLE = {"p7_found": _P7}
+ORACLE = {
+    "p4_found": _P4 + " SELECT first AS first_record_id, record_id AS copy_record_id FROM g WHERE record_id > first",
+    "p4_collapsed": _P4 + " SELECT DISTINCT first AS first_record, copies::BIGINT AS copies FROM g",
+    "p7_found": _P7,
+}

@@ -17,7 +17,7 @@ def words(text: str | None) -> list[str]:
     return " ".join(WORD.findall(text)).lower().split(" ") if text and WORD.search(text) else []
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each has about ``limit`` bytes of the text column at most (a longer text is alone)."""
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
