@@ -79,28 +79,30 @@ def running_sums(
     df: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
-    value: Column | str,
-    name: str,
+    value: Column | str | Sequence[Column | str],
+    name: str | Sequence[str],
     buckets: int = 256,
 ) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over all rows before this one in its group (exclusive running sum).
 
-    The order inside a group is by a bucket of the hash of ``order`` and then by ``order`` itself: a fixed
-    shuffle, the same in every run. Groups of any size are cut into ``buckets`` even parts, so that no task
-    holds a whole hot group: part totals are combined first, then each part sums by itself. ``order`` must tell
-    the rows of a group apart (ties would have to be broken by chance). Null groups count as one group.
+    Several values and names are summed in the same passes. The order inside a group is by a bucket of the hash of
+    ``order`` and then by ``order`` itself: a fixed shuffle, the same in every run. Groups of any size are cut into
+    ``buckets`` even parts, so that no task holds a whole hot group: part totals are combined first, then each part
+    sums by itself. ``order`` must tell the rows of a group apart (ties would have to be broken by chance). Null
+    groups count as one group.
     """
-    bucket, before, v = fresh("bucket"), fresh("before"), fresh("v")
-    value = F.col(value) if isinstance(value, str) else value
+    names = [name] if isinstance(name, str) else list(name)
+    values = [value] if isinstance(name, str) else list(value)
+    bucket, vs, befores = fresh("bucket"), [fresh("v") for _ in names], [fresh("before") for _ in names]
     h = F.xxhash64(*order)
-    rows = df.withColumn(v, value).withColumn(bucket, F.pmod(F.shiftright(h, 13), F.lit(buckets)).cast("int"))
-    totals = rows.groupBy(*groups, bucket).agg(F.sum(v).alias(before))
+    rows = df.withColumns({v: F.col(x) if isinstance(x, str) else x for v, x in zip(vs, values)})
+    rows = rows.withColumn(bucket, F.pmod(F.shiftright(h, 13), F.lit(buckets)).cast("int"))
+    totals = rows.groupBy(*groups, bucket).agg(*[F.sum(v).alias(b) for v, b in zip(vs, befores)])
     parts = W.partitionBy(*groups).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(*groups, bucket, F.coalesce(F.sum(before).over(parts), F.lit(0)).alias(before))
+    starts = totals.select(*[F.col(g).alias(f"__r_{g}") for g in groups], F.col(bucket).alias(f"__r_{bucket}"), *[F.coalesce(F.sum(b).over(parts), F.lit(0)).alias(b) for b in befores])
     inside = W.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = rows.withColumn(name, F.coalesce(F.sum(v).over(inside), F.lit(0)))
+    local = rows.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in zip(names, vs)})
     on = F.lit(True)
-    right = starts.select(*[F.col(g).alias(f"__r_{g}") for g in groups], F.col(bucket).alias(f"__r_{bucket}"), before)
     for g in [*groups, bucket]:
         on = on & F.col(g).eqNullSafe(F.col(f"__r_{g}"))
-    return local.join(right, on, "left").select(*df.columns, (F.col(name) + F.col(before)).alias(name))
+    return local.join(starts, on, "left").select(*df.columns, *[(F.col(n) + F.col(b)).alias(n) for n, b in zip(names, befores)])

@@ -1,4 +1,4 @@
-"""Queries p1-p6 over the catalogue tables, each with its SQL for the check by another engine."""
+"""Queries p1-p3, p5 and p6 over the catalogue tables, with SQL for the check by another engine."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratework.functions.text import WHITE_SPACE, is_blank, trim_to_null
-from cratework.operators import format_duplicates, hierarchy, hot_keys, orphans, shred, snapshots
+from cratework.operators import hierarchy, hot_keys, orphans, shred, snapshots
 from cratework.session import table
 
 LISTS = {"urls.url": "url", "namevariations.name": "name_variation", "aliases.name": "alias", "groups.name": "group", "members.name": "member"}
@@ -99,20 +99,6 @@ def p3_summary(spark: SparkSession, d: str) -> DataFrame:
     return p3_found(spark, d).groupBy("snapshot_date", "change_kind").agg(F.count(F.lit(1)).alias("n_artists"))
 
 
-def _p4_fields() -> dict:
-    return {"urls": F.col("urls.url"), "names": F.col("namevariations.name")}
-
-
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    copies = format_duplicates.copies_of(table(spark, d, "artist_xml").select("record_id", "urls", "namevariations"), _p4_fields(), "record_id")
-    return copies.select(F.col("first_record").alias("first_record_id"), F.col("copy_record").alias("copy_record_id")).distinct()
-
-
-def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "artist_xml").select("record_id", "urls", "namevariations")
-    return format_duplicates.collapse(rows, _p4_fields(), "record_id").select("first_record", "copies")
-
-
 SUMMARIES = {"release_item_artist": "artist_id", "label_release_item": "label_id"}
 
 
@@ -136,42 +122,55 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.settle(hierarchy.clean_edges(table(spark, d, "label_sub_label"), "parent_label_id", "sub_label_id"))
 
 
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
+def _hierarchy(spark: SparkSession, d: str):
+    """Forest, roots, what roots and cycles reach, and the labels on cycles."""
     edges = _links(spark, d)
-    trees = hierarchy.nested_sets(hierarchy.spanning_trees(edges)).select(F.col("node").alias("label_id"), F.col("root").alias("root_label_id"), "depth")
-    cycles = hierarchy.cycle_classes(edges).select(F.col("node").alias("label_id"), F.col("least").alias("root_label_id"), F.lit(-1).alias("depth"))
-    return trees.unionByName(cycles)
+    f = hierarchy.forest(edges)
+    roots = hierarchy.settle(hierarchy.roots_of(edges))
+    classes = hierarchy.entry_classes(f)
+    reached = hierarchy.settle(hierarchy.reach(f, roots.union(hierarchy.class_starts(classes))))
+    return f, roots, classes, reached, hierarchy.cycles(f, classes, reached)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    _, roots, _, reached, cycles = _hierarchy(spark, d)
+    below = reached.join(roots.withColumnRenamed("node", "start"), "start", "left_semi")
+    trees = below.select(F.col("node").alias("label_id"), F.col("start").alias("root_label_id"), "depth")
+    return trees.unionByName(cycles.select(F.col("node").alias("label_id"), F.col("least").alias("root_label_id"), F.lit(-1).alias("depth")))
+
+
+def _below(spark: SparkSession, d: str) -> DataFrame:
+    f = hierarchy.forest(_links(spark, d))
+    return hierarchy.reach(f, f.nodes.select("node")).filter("start <> node")
 
 
 def p6_nested_sets(spark: SparkSession, d: str) -> DataFrame:
-    """root, label, depth, subtree size, preorder range, path and number of descendants of each label below each root.
+    """root, label, depth, path from the root, range in the forest, subtree size there and number of descendants.
 
-    Size and range are those of the tree of shortest ways; ``descendants`` counts the labels other than itself that
-    the label reaches over any links (p6_descendants lists them). A cycle that no root reaches is represented by its
-    smallest label as root, so that each label of a link is in some row.
+    A cycle that no root reaches is represented by its smallest label as root, so that each label of a link is in some
+    row. ``first`` and ``last`` are places in the forest, where a label has one parent; ``descendants`` counts the labels
+    other than itself that the label reaches over any links (p6_descendants lists them).
     """
-    edges = _links(spark, d)
-    below = hierarchy.descendants(edges)
-    trees = hierarchy.spanning_trees(edges, hierarchy.rootless_starts(below))
-    ranges = hierarchy.nested_sets(trees)
-    counts = below.filter("node <> below").groupBy("node").agg(F.count(F.lit(1)).alias("descendants"))
-    ways = hierarchy.paths(trees).select("root", "node", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
-    return ranges.join(ways, ["root", "node"]).join(counts, "node", "left").select(
-        F.col("root").alias("root_label_id"), F.col("node").alias("label_id"), "depth", F.col("size").alias("subtree_size"), "first", "last", "path",
-        F.coalesce("descendants", F.lit(0)).alias("descendants"),
+    f, roots, classes, reached, cycles = _hierarchy(spark, d)
+    starts = roots.union(hierarchy.rootless_starts(f, classes, cycles, reached))
+    ways = hierarchy.reach(f, starts, hierarchy.paths(f))
+    counts = hierarchy.reach(f, f.nodes.select("node")).groupBy(F.col("start").alias("node")).agg((F.count(F.lit(1)) - 1).alias("descendants"))
+    return ways.join(f.nodes.select("node", "size", "first"), "node").join(counts, "node").select(
+        F.col("start").alias("root_label_id"), F.col("node").alias("label_id"), "depth", F.col("size").alias("subtree_size"),
+        "first", (F.col("first") + F.col("size") - 1).alias("last"), F.array_join(F.col("way").cast("array<string>"), "/").alias("path"), "descendants",
     )
 
 
 def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
     """Each label with each other label below it, over whatever links, and the fewest links between them."""
-    below = hierarchy.descendants(_links(spark, d)).filter("node <> below")
-    return below.select(F.col("node").alias("label_id"), F.col("below").alias("descendant_id"), "distance")
+    return _below(spark, d).select(F.col("start").alias("label_id"), F.col("node").alias("descendant_id"), F.col("depth").alias("distance"))
 
 
 def p6_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Descendants of each root, itself not counted, from its nested-set range."""
-    ranges = hierarchy.nested_sets(hierarchy.spanning_trees(_links(spark, d)))
-    return ranges.filter("depth = 0").select(F.col("root").alias("root_label_id"), (F.col("last") - F.col("first")).alias("descendants"))
+    """Descendants of each root, itself not counted."""
+    edges = _links(spark, d)
+    reached = hierarchy.reach(hierarchy.forest(edges), hierarchy.roots_of(edges))
+    return reached.groupBy(F.col("start").alias("root_label_id")).agg((F.count(F.lit(1)) - 1).alias("descendants"))
 
 
 QUERIES = {
@@ -185,8 +184,6 @@ QUERIES = {
     "p2_report": p2_report,
     "p3_found": p3_found,
     "p3_summary": p3_summary,
-    "p4_found": p4_found,
-    "p4_collapsed": p4_collapsed,
     "p5_found": p5_found,
     "p5_artists": _p5("release_item_artist"),
     "p5_labels": _p5("label_release_item"),
@@ -216,20 +213,16 @@ _P3 = f"""WITH v AS (SELECT DISTINCT snapshot_date AS day, id, coalesce(trim(nam
       CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' WHEN n.a <> o.a OR n.b <> o.b THEN 'changed' END AS kind
     FROM (SELECT v.*, s.nxt FROM v JOIN s USING (day) WHERE s.nxt IS NOT NULL) o
     FULL JOIN (SELECT * FROM v WHERE day > (SELECT min(day) FROM v)) n ON n.day = o.nxt AND n.id = o.id)"""
-_P4 = """WITH k AS (SELECT record_id,
-    list_sort(list_distinct(list_filter(list_transform(coalesce(urls.url, []), lambda x: regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g')), lambda x: x <> '')))::VARCHAR AS u,
-    list_sort(list_distinct(list_filter(list_transform(coalesce(namevariations.name, []), lambda x: regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g')), lambda x: x <> '')))::VARCHAR AS n FROM artist_xml),
-  g AS (SELECT record_id, min(record_id) OVER (PARTITION BY u, n) AS first, count(*) OVER (PARTITION BY u, n) AS copies FROM k WHERE u <> '[]' OR n <> '[]')"""
 _P5 = {
     n: f"""SELECT {k} AS key_id, count(*)::BIGINT AS n_rows, count(DISTINCT release_item_id)::BIGINT AS n_members, strftime(max(last_modified_at) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS latest FROM {n} GROUP BY 1"""
     for n, k in SUMMARIES.items()
 }
 _P6 = """WITH RECURSIVE e AS (SELECT DISTINCT parent_label_id AS p, sub_label_id AS c FROM label_sub_label WHERE parent_label_id IS NOT NULL AND sub_label_id IS NOT NULL),
-  down(root, node, depth) AS (
-    SELECT DISTINCT p, p, 0 FROM e WHERE p NOT IN (SELECT c FROM e)
-    UNION SELECT root, c, depth + 1 FROM down JOIN e ON p = node WHERE depth < 60),
-  tree AS (SELECT root, node, min(depth)::INT AS depth FROM down GROUP BY ALL),
-  reach(a, b) AS (SELECT p, c FROM e UNION SELECT a, c FROM reach JOIN e ON p = b)"""
+  reach(a, b, depth) USING KEY (a, b) AS (
+    SELECT v, v, 0 FROM (SELECT p AS v FROM e UNION SELECT c FROM e)
+    UNION (SELECT DISTINCT t.a, e.c, t.depth + 1 FROM reach t JOIN e ON e.p = t.b WHERE NOT EXISTS (SELECT 1 FROM recurring.reach r WHERE r.a = t.a AND r.b = e.c))),
+  tree AS (SELECT a AS root, b AS node, depth FROM reach WHERE a NOT IN (SELECT c FROM e)),
+  cyclic AS (SELECT DISTINCT e.p AS a, x.b FROM e JOIN reach x ON x.a = e.c JOIN reach y ON y.a = x.b AND y.b = e.p)"""
 
 ORACLE = {
     "p1_found": " UNION ".join(_P1_PARTS),
@@ -242,11 +235,10 @@ ORACLE = {
     "p2_report": _P2 + " SELECT ref_table, strftime(dump_date, '%Y-%m-%d') AS period_date, count(*)::BIGINT AS orphan_rows, count(DISTINCT target_id)::BIGINT AS missing_keys FROM orphan GROUP BY 1, 2",
     "p3_found": _P3 + " SELECT DISTINCT strftime(day, '%Y-%m-%d') AS snapshot_date, id AS artist_id, kind AS change_kind FROM c WHERE kind IS NOT NULL",
     "p3_summary": _P3 + " SELECT strftime(day, '%Y-%m-%d') AS snapshot_date, kind AS change_kind, count(DISTINCT id)::BIGINT AS n_artists FROM c WHERE kind IS NOT NULL GROUP BY 1, 2",
-    "p4_found": _P4 + " SELECT first AS first_record, record_id AS copy_record FROM g WHERE record_id > first",
-    "p4_collapsed": _P4 + " SELECT DISTINCT first AS first_record, copies::BIGINT AS copies FROM g",
     "p5_found": " UNION ALL ".join(f"SELECT '{n}' AS table_name, {k} AS key_id FROM {n} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > {HEAVY_SHARE} * (SELECT count(*) FROM {n})" for n, k in SUMMARIES.items()),
     "p5_artists": _P5["release_item_artist"],
     "p5_labels": _P5["label_release_item"],
-    "p6_found": _P6 + " SELECT node AS label_id, root AS root_label_id, depth FROM tree UNION ALL SELECT x.a, min(x.b), -1 FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY 1",
+    "p6_found": _P6 + " SELECT node AS label_id, root AS root_label_id, depth FROM tree UNION ALL SELECT a, least(a, min(b)), -1 FROM cyclic GROUP BY 1",
+    "p6_descendants": _P6 + " SELECT a AS label_id, b AS descendant_id, depth AS distance FROM reach WHERE a <> b",
     "p6_sizes": _P6 + " SELECT root AS root_label_id, count(*)::BIGINT - 1 AS descendants FROM tree GROUP BY 1",
 }

@@ -43,14 +43,21 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def settle(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
+
+    A checkpointed frame keeps the size that the optimizer estimated for its plan. In loops that join a frame with
+    itself these estimates multiply into numbers of millions of digits; so the frame is rebuilt on the checkpointed
+    rows without them, and sizes are measured at run time.
+    """
     spark = df.sparkSession
     sc = spark.sparkContext
     folder = shared_dir(spark)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=eager)
+    done = df.checkpoint(eager=True)
+    rows = done._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, done._jdf.schema(), False), spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

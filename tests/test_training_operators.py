@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cratework.functions.text import trim_to_null
-from cratework.operators import format_duplicates, hierarchy, hot_keys, orphans, shred, skew, snapshots
+from cratework.operators import hierarchy, hot_keys, orphans, shred, skew, snapshots
 from cratework.plans import training_queries
 
 D = dt.date
@@ -127,31 +127,6 @@ def test_snapshots_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-# duplicates
-
-
-def canon(xs):
-    return tuple(sorted({"".join(ch for ch in x.lower() if ch.isalnum()) for x in xs or [] if x} - {""}))
-
-
-def test_duplicates_brute(spark):
-    rng = random.Random(4)
-    words = ["A b", "a-B", "ab ", "ÀB", "àb!", "c", "C.", "", " ", None, "Ж 1", "ж1", "d_e", "DE"]
-    data = [(i, rng.choice([None, [], *([rng.sample(words, 2)] * 3), [rng.choice(words)]]), rng.choice([None, [rng.choice(words)]])) for i in range(400)]
-    data += [(1000 + i, ["hot one"], ["n"]) for i in range(300)] + [(5, ["hot-one"], ["N"]), (5, ["hot-one"], ["N"])]
-    df = spark.createDataFrame(data, "rid int, u array<string>, n array<string>")
-    fields = {"urls": F.col("u"), "names": F.col("n")}
-    groups = defaultdict(list)
-    for r, u, n in data:
-        if canon(u) or canon(n):
-            groups[canon(u), canon(n)].append(r)
-    want = sorted((min(g), r) for g in groups.values() for r in g if r > min(g))
-    assert rows(format_duplicates.copies_of(df, fields, "rid")) == sorted(want, key=repr)
-    survivors = format_duplicates.collapse(df, fields, "rid")
-    assert Counter(rows(survivors.select("first_record", "copies"))) == Counter((min(g), len(g)) for g in groups.values())
-    assert format_duplicates.copies_of(df.limit(0), fields, "rid").count() == 0
-
-
 # heavy keys
 
 
@@ -203,37 +178,66 @@ def test_hierarchy_brute(spark, seed):
     edges += [(30 + i, 61 + i) for i in range(3)] + [(100 + i, 101 + i) for i in range(9)] + [(105, 103), (200, 200), (100, 101)]
     df = spark.createDataFrame([*edges, (None, 5), (7, None)], "p int, c int")
     clean = hierarchy.clean_edges(df, "p", "c")
-    trees = hierarchy.spanning_trees(clean)
+    f = hierarchy.forest(clean)
     found, cycles = brute_tree(edges)
-    got = {(r["root"], r["node"]): r for r in hierarchy.nested_sets(trees).collect()}
-    assert {k: r["depth"] for k, r in got.items()} == found
-    for (root, node), r in got.items():
-        if r["parent"] is not None:
-            up = got[root, r["parent"]]
-            assert up["depth"] == r["depth"] - 1 and up["first"] < r["first"] and r["last"] <= up["last"]
-        below = [k for k in got if k[0] == root and r["first"] <= got[k]["first"] <= r["last"]]
-        assert len(below) == r["size"]
-    for r in hierarchy.paths(trees).collect():
-        assert r["path"][0] == r["root"] and r["path"][-1] == r["node"] and len(r["path"]) == r["depth"] + 1
-        assert all(e in set(edges) for e in zip(r["path"], r["path"][1:]))
-    assert {r["node"]: r["least"] for r in hierarchy.cycle_classes(clean).collect()} == cycles
+    nodes = {r["node"]: r for r in f.nodes.collect()}
+    assert sorted(r["first"] for r in nodes.values()) == list(range(len(nodes)))
+    for v, r in nodes.items():
+        if r["up"] is not None:
+            up = nodes[r["up"]]
+            assert (r["up"], v) in edges and up["depth"] == r["depth"] - 1 and up["first"] < r["first"] and r["first"] + r["size"] <= up["first"] + up["size"]
+        assert len([x for x in nodes.values() if r["first"] <= x["first"] < r["first"] + r["size"]]) == r["size"]
+    links = {(r["source"], r["to"]): r for r in f.links.collect()}
+    assert set(links) == {(p, c) for p, c in edges if nodes[c]["up"] != p} and sorted(r["rank"] for r in links.values()) == list(range(len(links)))
+    for v, r in nodes.items():
+        inside = {k for k in links if r["first"] <= nodes[k[0]]["first"] < r["first"] + r["size"]}
+        assert inside == {k for k, x in links.items() if r["rank"] <= x["rank"] < r["rank"] + r["leaving"]}
+    classes = hierarchy.entry_classes(f)
+    roots = hierarchy.roots_of(clean)
+    reached = hierarchy.reach(f, roots.union(hierarchy.class_starts(classes)), hierarchy.paths(f)).cache()
+    tops = {r["node"] for r in roots.collect()}
+    got = {(r["start"], r["node"]): r for r in reached.collect()}
+    assert {k: r["depth"] for k, r in got.items() if k[0] in tops} == found
+    for (start, node), r in got.items():
+        assert r["way"][0] == start and r["way"][-1] == node and len(r["way"]) == r["depth"] + 1
+        assert all(e in set(edges) for e in zip(r["way"], r["way"][1:]))
+    assert {r["node"]: r["least"] for r in hierarchy.cycles(f, classes, reached).collect()} == cycles
 
 
 def test_hierarchy_empty_and_cycles_only(spark):
     empty = spark.createDataFrame([], "p int, c int")
-    clean = hierarchy.clean_edges(empty, "p", "c")
-    assert hierarchy.nested_sets(hierarchy.spanning_trees(clean)).count() == 0
-    assert hierarchy.cycle_classes(clean).count() == 0
+    f = hierarchy.forest(hierarchy.clean_edges(empty, "p", "c"))
+    classes = hierarchy.entry_classes(f)
+    reached = hierarchy.reach(f, hierarchy.class_starts(classes))
+    assert f.nodes.count() == 0 and f.links.count() == 0 and reached.count() == 0 and hierarchy.cycles(f, classes, reached).count() == 0
     ring = hierarchy.clean_edges(spark.createDataFrame([(1, 2), (2, 1)], "p int, c int"), "p", "c")
-    assert hierarchy.spanning_trees(ring).count() == 0
-    assert rows(hierarchy.cycle_classes(ring)) == [(1, 1), (2, 1)]
+    f = hierarchy.forest(ring)
+    classes = hierarchy.entry_classes(f)
+    assert hierarchy.roots_of(ring).count() == 0
+    assert rows(hierarchy.cycles(f, classes, hierarchy.reach(f, hierarchy.class_starts(classes)))) == [(1, 1), (2, 1)]
+
+
+def test_ranges_longer_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "BLOCK", 4)
+    edges = [(0, i) for i in range(1, 23)] + [(i, 100) for i in range(1, 23)] + [(100, 101)]
+    clean = hierarchy.clean_edges(spark.createDataFrame(edges, "p int, c int"), "p", "c")
+    got = hierarchy.reach(hierarchy.forest(clean), hierarchy.roots_of(clean))
+    assert {(r["node"], r["depth"]) for r in got.collect()} == {(0, 0), (100, 2), (101, 3)} | {(i, 1) for i in range(1, 23)}
+
+
+# Columns and types of the queries whose rows are compared with known cases.
+CONTRACT = {
+    "p1_found": [("record_id", "bigint"), ("relation", "string"), ("ordinal", "int")],
+    "p2_found": [("ref_table", "string"), ("period_date", "string"), ("row_id", "int"), ("target_id", "int")],
+    "p3_found": [("snapshot_date", "string"), ("artist_id", "int"), ("change_kind", "string")],
+    "p5_found": [("table_name", "string"), ("key_id", "int")],
+    "p6_found": [("label_id", "int"), ("root_label_id", "int"), ("depth", "int")],
+}
 
 
-def test_p4_found_columns(spark, tmp_path):
-    data = [(1, (["A"],), None), (2, (["a "],), (["-"],)), (3, (["b"],), None)]
-    spark.createDataFrame(data, "record_id long, urls struct<url:array<string>>, namevariations struct<name:array<string>>").write.parquet(str(tmp_path / "artist_xml.parquet"))
-    got = training_queries.p4_found(spark, str(tmp_path))
-    assert got.columns == ["first_record_id", "copy_record_id"] and rows(got) == [(1, 2)]
+@pytest.mark.parametrize("name", sorted(CONTRACT))
+def test_contract_of_found(spark, name):
+    assert training_queries.QUERIES[name](spark, "/root/testdata/sf0.001").dtypes == CONTRACT[name]
 
 
 def brute_below(edges):
@@ -258,12 +262,15 @@ def test_descendants_of_inner_nodes(spark, seed):
     edges += [(10, 11), (11, 10), (11, 12), (12, 13), (13, 14), (14, 13)] + [(20, 20), (20, 21)]  # cycles without a root
     edges += [(rng.randrange(30, 50), rng.randrange(40, 70)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(21)]
     clean = hierarchy.clean_edges(spark.createDataFrame(edges, "p int, c int"), "p", "c")
-    below, want = hierarchy.descendants(clean), brute_below(edges)
-    assert {(r["node"], r["below"]): r["distance"] for r in below.collect()} == want
-    starts = rows(hierarchy.rootless_starts(below))
-    assert {(10,), (20,)} <= set(starts) and (13,) not in starts
-    trees = hierarchy.nested_sets(hierarchy.spanning_trees(clean, hierarchy.rootless_starts(below))).collect()
-    assert {r["node"] for r in trees} == {x for e in edges for x in e}
+    f = hierarchy.forest(clean)
+    below, want = hierarchy.reach(f, f.nodes.select("node")), brute_below(edges)
+    assert {(r["start"], r["node"]): r["depth"] for r in below.filter("start <> node").collect()} == {k: d for k, d in want.items() if k[0] != k[1]}
+    classes = hierarchy.entry_classes(f)
+    roots = hierarchy.roots_of(clean)
+    reached = hierarchy.reach(f, roots.union(hierarchy.class_starts(classes)))
+    starts = hierarchy.rootless_starts(f, classes, hierarchy.cycles(f, classes, reached), reached)
+    assert {(10,), (20,)} <= set(rows(starts)) and (13,) not in rows(starts)
+    assert {r["node"] for r in hierarchy.reach(f, roots.union(starts)).collect()} == {x for e in edges for x in e}
 
 
 def test_nested_sets_query_counts_all_descendants(spark, tmp_path):
@@ -317,10 +324,8 @@ def test_clashing_column_names(spark):
     assert rows(snapshots.snapshot_changes(df, "d", ["id"], [F.col("name")])) == [(D(2024, 2, 1), 1, "changed")]
     df = spark.createDataFrame([(1, 2, 3, 4, 5)], "k int, key_id int, n_rows int, latest int, __n int")
     assert rows(hot_keys.keyed_summary(df, "k", "key_id", "latest")) == [(1, 1, 1, 4)]
-    df = spark.createDataFrame([(1, ["A"], "r", 1, 1), (2, ["a "], "r", 1, 1)], "rid int, first array<string>, raw_key string, n_copies int, copy_record int")
-    assert rows(format_duplicates.copies_of(df, {"x": F.col("first")}, "rid")) == [(1, 2)]
     df = spark.createDataFrame([(1, 2, "r", 7)], "parent int, child int, root string, depth int")
-    assert rows(hierarchy.spanning_trees(hierarchy.clean_edges(df, "parent", "child")).select("root", "node", "depth")) == [(1, 1, 0), (1, 2, 1)]
+    assert rows(hierarchy.forest(hierarchy.clean_edges(df, "parent", "child")).nodes.select("node", "up", "depth")) == [(1, None, 0), (2, 1, 1)]
     df = spark.createDataFrame([(1, 5, "v")], "id int, target int, k string")
     assert orphans.orphan_references(df, df, [("target", "id")]).columns == ["id", "target", "k"]
     df = spark.createDataFrame([(1, (["x"],), "g", "p")], "id int, urls struct<url:array<string>>, ordinals string, leaves string")
@@ -329,7 +334,5 @@ def test_clashing_column_names(spark):
 
 def test_very_long_texts(spark):
     long = "Ab " * 300_000
-    df = spark.createDataFrame([(1, [long]), (2, [long.upper() + "!"]), (3, [long + "x"])], "rid int, u array<string>")
-    assert rows(format_duplicates.copies_of(df, {"u": F.col("u")}, "rid")) == [(1, 2)]
     df = spark.createDataFrame([(D(2024, 1, 1), 1, long), (D(2024, 2, 1), 1, long + "x")], "d date, id int, t string")
     assert rows(snapshots.snapshot_changes(df, "d", ["id"], [trim_to_null("t")])) == [(D(2024, 2, 1), 1, "changed")]
