@@ -114,3 +114,41 @@ def test_mix_with_clashing_names(spark):
     extra = {c: F.lit(1) for c in ("size", "n_tokens", "source_key", "copy", "target_share", "doc")}
     plain = mixing.mix_sources(d, t).report.orderBy("source").collect()
     assert mixing.mix_sources(d.withColumns(extra), t.withColumns({"size": F.lit(2), "source_key": F.lit("q")})).report.orderBy("source").collect() == plain
+
+
+def test_huge_repeats(spark):
+    """However many repeats are allowed, only the copies that the mix has room for are made."""
+    rows = [(1, "word " * 60_000, "big"), (2, "one two three four", "tiny"), (3, "", "tiny"), (4, None, "none")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    t = spark.createDataFrame([("big", 0.5, 1), ("tiny", 0.5, 2_000_000_000), ("none", 0.1, 2_000_000_000)], TARGETS)
+    mix = mixing.mix_sources(d, t)
+    report = {r["source"]: r for r in mix.report.collect()}
+    assert not report["tiny"]["falls_short"] and 0.45 < report["tiny"]["actual_share"]
+    assert mix.records.filter("source = 'tiny' and n_tokens > 0").count() == report["tiny"]["tokens"] // report["tiny"]["size"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_many_sources_like_few(spark, seed):
+    """Halving the queues and joining sources by a shuffle changes nothing."""
+    rng = random.Random(seed)
+    docs = [(i, "word " * rng.randrange(1, 30), f"s{rng.randrange(60)}") for i in range(400)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    t = spark.createDataFrame([(f"s{i}", rng.random() / 30, rng.randrange(0, 6)) for i in range(70)], TARGETS)
+    one, two = mixing.mix_sources(d, t, bucket_rows=4), mixing.mix_sources(d, t, few_sources=3, bucket_rows=4)
+    key = lambda m: sorted((r["doc"], r["copy"]) for r in m.records.collect())
+    assert key(one) == key(two)
+    assert [r["falls_short"] for r in one.report.orderBy("source").collect()] == [r["falls_short"] for r in two.report.orderBy("source").collect()]
+
+
+def test_cut_by_slots_is_the_longest_row_that_fits(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), i, rng.randrange(1, 9), 0, float(rng.choice([rng.randrange(5), rng.random() * 100]))) for i in range(300)]
+    df = spark.createDataFrame(rows, "source_key string, doc int, n_tokens int, copy int, finish double")
+    for budget in (0, 1, 250, 700, 10**6):
+        want, total = [], 0
+        for r in sorted(rows, key=lambda r: (r[4], r[0], r[1], r[3])):
+            total += r[2]
+            if total > budget:
+                break
+            want.append(r[1])
+        assert sorted(r["doc"] for r in mixing._within(df, budget, 3, 7).collect()) == sorted(want)
