@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratework.operators.skew import fresh, salted_join
+from cratework.session import settle
 
 MATCHES = ("simple", "partial", "full")
 
@@ -56,7 +57,7 @@ def orphan_references(
         n = fresh("n")
         wanted = here.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
         there = renamed.select(*on).dropna().distinct()
-        missing = wanted.join(there, on, "left_anti")
+        missing = settle(wanted.join(there, on, "left_anti"))  # the orphan keys only, used three times
         parts.append(salted_join(here, missing.select(*on), on, "left_semi", counts=missing).select(*refs.columns))
     return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0)
 

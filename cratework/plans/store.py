@@ -4,22 +4,35 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cratework.plans.control import exclusive
+
+
+LAYOUT = 1  # C11: raised with any change of table formats
+
 
 class Store:
     """A folder of tables. ``<table>/v=<id>/`` hold versions, ``CURRENT`` maps tables to versions.
 
-    All tables that one step writes become visible together, when CURRENT is replaced; a failed step leaves
-    nothing but unreferenced files. The folder must be on a file system with atomic rename that all executors share.
+    All tables that one step writes become visible together, when CURRENT is replaced (steps of other runs in between
+    lose nothing); a failed step leaves nothing but unreferenced files. The folder must be on a file system with atomic rename that all executors share.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
         os.makedirs(path, exist_ok=True)
+        layout = os.path.join(path, "LAYOUT")
+        if not os.path.exists(layout):
+            with open(layout, "w") as f:
+                f.write(str(LAYOUT))
+        with open(layout) as f:
+            if (found := f.read().strip()) != str(LAYOUT):
+                raise RuntimeError(f"{path} has layout {found}, this engine reads layout {LAYOUT}")
 
     def _pointer(self) -> str:
         return os.path.join(self.path, "CURRENT")
@@ -45,18 +58,23 @@ class Store:
     def staged(self, table: str, version: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.path, table, f"v={version}"))
 
+    def discard(self, table: str, version: str) -> None:
+        """Remove a staged version that was never published."""
+        shutil.rmtree(os.path.join(self.path, table, f"v={version}"), ignore_errors=True)
+
     def publish(self, staged: dict[str, str], fence=None) -> None:
         """Make staged versions current, all at once. ``fence`` is called just before and may raise to stop it."""
-        merged = self.versions() | staged
-        fd, temporary = tempfile.mkstemp(dir=self.path)
-        with os.fdopen(fd, "w") as f:
-            json.dump(merged, f, sort_keys=True)
-            f.flush()
-            os.fsync(f.fileno())
-        if fence is not None:
+        with exclusive(self._pointer()):
+            merged = self.versions() | staged
+            fd, temporary = tempfile.mkstemp(dir=self.path)
             try:
-                fence()
+                with os.fdopen(fd, "w") as f:
+                    json.dump(merged, f, sort_keys=True)
+                    f.flush()
+                    os.fsync(f.fileno())
+                if fence is not None:
+                    fence()
+                os.replace(temporary, self._pointer())
             except BaseException:
                 os.unlink(temporary)
                 raise
-        os.replace(temporary, self._pointer())

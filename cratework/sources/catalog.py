@@ -6,9 +6,9 @@ import hashlib
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratework.functions.dates import in_month
@@ -20,6 +20,7 @@ from cratework.operators.dedupe import newest_per_group
 KINDS = ("artists", "labels", "masters", "releases")
 _HREF = r'href\s*=\s*"([^"]*)"'
 _FILE = r"_([0-9]{8})_([A-Za-z]+)\."
+_MANIFEST = r"(?i)_([0-9]{8})_checksum\.txt$"
 _CHECKSUM = r"^([0-9a-fA-F]{64})[\s*]+\S*?_([0-9]{8})_([A-Za-z]+)"
 
 
@@ -119,6 +120,62 @@ def latest_dump(dumps: DataFrame, entity: str, month: Column | None = None) -> D
     return rows.orderBy(F.desc("dump_date"), F.desc("id")).limit(1)
 
 
+# Fetching a catalogue: the driver reads pages, the plans above take them apart.
+
+
+def opener(base: str) -> Callable[[str, str], object]:
+    """``fetch(kind, name)`` for a catalogue: kind ``prefix`` opens a listing page, ``download`` a file.
+
+    An address is asked by query parameter. A local copy is a folder: ``<prefix>index.html`` and the files by their paths.
+    """
+    from urllib.parse import quote
+
+    if base.startswith(("http://", "https://")):
+        return lambda kind, name: open_url(f"{base}?{kind}={quote(name, safe='')}")
+    return lambda kind, name: open(os.path.join(base, name, "index.html") if kind == "prefix" else os.path.join(base, name), "rb")
+
+
+def _page(spark: SparkSession, fetch: Callable[[str, str], object], prefix: str) -> DataFrame:
+    with fetch("prefix", prefix) as f:
+        return spark.createDataFrame([(f.read().decode("utf-8", "replace"),)], "value string")
+
+
+def manifests(pages: DataFrame, page: str = "value") -> DataFrame:
+    """uri and dump_date of the checksum manifests among the download links."""
+    uris = pages.select(F.explode(hrefs(page)).alias("h")).select(query_value(F.col("h"), "download").alias("uri"))
+    date = F.try_to_date(F.regexp_extract("uri", _MANIFEST, 1), "yyyyMMdd")
+    return uris.select("uri", date.alias("dump_date")).filter(F.col("dump_date").isNotNull())
+
+
+def fetch_catalogue(spark: SparkSession, fetch: Callable[[str, str], object], entities: Sequence[str], month: str | None = None, whole: bool = False) -> DataFrame:
+    """C14: the dumps of the wanted entities (of the month yyyy-mm, else the latest of each) with their checksums.
+
+    One listing page and one manifest a dump date are fetched: of the month's year, else of the newest year. With
+    ``whole`` (C16), all dumps of the year are taken, those without a checksum left out. Dumps that aren't listed and
+    checksums that are missing raise ValueError.
+    """
+    year = int(month[:4]) if month else latest_year(_page(spark, fetch, "data/")).first()["year"]
+    if year is None:
+        raise ValueError("the catalogue lists no year")
+    page = _page(spark, fetch, f"data/{year}/")
+    found = listing(page).select("uri", "dump_date", "kind", entity_name("kind").alias("entity_type"))
+    if month:
+        found = found.filter(in_month("dump_date", F.to_date(F.lit(f"{month}-01"))))
+    if not whole:
+        numbered = found.withColumn("position", F.monotonically_increasing_id())
+        best = refresh_candidates(numbered, list(entities), "position")
+        found = found.join(best.select("entity_type", "dump_date", "uri"), ["entity_type", "dump_date", "uri"], "left_semi")
+        if missing := sorted(set(entities) - {r["entity_type"] for r in found.select("entity_type").collect()}):
+            raise ValueError(f"the catalogue lists no dump of {', '.join(missing)} for {month or year}")
+    lines = []
+    wanted = manifests(page).join(found.select("dump_date").distinct(), "dump_date", "left_semi").orderBy("uri")
+    for r in wanted.collect():  # a row a dump date of one year
+        with fetch("download", r["uri"]) as f:
+            lines += enumerate(f.read().decode("utf-8", "replace").splitlines())
+    sums = checksum_map(spark.createDataFrame(lines or [(0, "")], "line_no long, value string"))
+    return dump_rows(with_checksums(found, sums, check=not whole)).filter(F.col("checksum").isNotNull())
+
+
 # Files: on the driver, not part of a plan.
 
 

@@ -1,11 +1,16 @@
 import json
 import os
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import fixtures
 import pytest
 from pyspark.sql import functions as F
 
 from cratework.cli import parse
+from cratework.operators.dedupe import count_windows
 from cratework.plans import control as C
 from cratework.plans.pipeline import ImportConfig, numbered, run_import
 from cratework.plans.registry import DEPENDENCIES, TABLES, key_columns
@@ -137,6 +142,96 @@ def test_locks(tmp_path):
     assert os.listdir(tmp_path) == []
 
 
+def test_locks_of_a_killed_process_are_taken(tmp_path):
+    code = "import os, sys; sys.path.insert(0, sys.argv[2]); from cratework.plans import control as C; held = C.entity_locks(sys.argv[1], ['label']); held.__enter__(); os._exit(9)"
+    subprocess.run([sys.executable, "-c", code, str(tmp_path), str(Path(__file__).parent.parent)], check=False)
+    assert os.listdir(tmp_path) == ["label.lock"]
+    with pytest.raises(FileExistsError), C.entity_locks(str(tmp_path), ["label"]):
+        pass
+    time.sleep(0.3)
+    with C.entity_locks(str(tmp_path), ["label"], lease=0.2):
+        time.sleep(0.5)  # renewed meanwhile
+        with pytest.raises(FileExistsError), C.entity_locks(str(tmp_path), ["label"], lease=0.2):
+            pass
+    assert os.listdir(tmp_path) == []
+
+
+def test_only_runs_of_the_same_entities_are_abandoned(spark, tmp_path):
+    control = C.Control(str(tmp_path / "control.json"))
+    dump = lambda e: [{"entity_type": e, "dump_date": "2024-01-01", "checksum": "a" * 64}]
+    one = control.admit(spark, dump("artist"), 5)["run"]
+    two = C.Control(str(tmp_path / "control.json")).admit(spark, dump("label"), 5)["run"]
+    control.fence(one), control.fence(two)
+    three = control.admit(spark, dump("artist"), 5)["run"]
+    with pytest.raises(RuntimeError):
+        control.fence(one)
+    control.fence(two), control.fence(three)
+    assert {r["entity_type"]: (r["state"], r["operation"], r["import_run_id"]) for r in control.tables["states"]} == {"artist": ("importing", "bootstrap", 3), "label": ("importing", "bootstrap", 2)}
+    control.finish(spark, three, "broken")
+    assert {r["entity_type"]: r["state"] for r in control.tables["states"]} == {"artist": "failed", "label": "importing"}
+
+
+def test_ledger_must_cover_the_items(spark, tmp_path):
+    control = C.Control(str(tmp_path / "control.json"))
+    run = control.admit(spark, [{"entity_type": "label", "dump_date": "2024-01-01", "checksum": "a" * 64}], 4)["run"]
+    rows = lambda n: count_windows(spark.range(n).withColumnRenamed("id", "row_idx"), "row_idx", 4)
+    with pytest.raises(RuntimeError, match="don't cover"):
+        control.finish_entity(spark, run, "label", rows(9), 10)
+    control.finish_entity(spark, run, "label", rows(10), 10)
+    assert sorted((c["chunk_index"], c["item_count"]) for c in control.tables["chunks"]) == [(0, 4), (1, 4), (2, 2)]
+    control.finish(spark, run)
+
+
+def catalogue(folder, checksum=None):
+    """A local copy of a catalogue with dumps of two months and one manifest each."""
+    lines, links = {}, []
+    for day in ("20240101", "20240201"):
+        (folder / "data" / "2024").mkdir(parents=True, exist_ok=True)
+        for kind, text in (("artists", fixtures.ARTISTS), ("labels", fixtures.LABELS)):
+            path, good = fixtures.write(folder / "data" / "2024", f"dumps_{day}_{kind}", text)
+            os.rename(path, folder / "data" / "2024" / f"dumps_{day}_{kind}.xml.gz")
+            lines.setdefault(day, []).append(f"{checksum or good} *dumps_{day}_{kind}.xml.gz")
+            links.append(f'<a href="?download=data%2F2024%2Fdumps_{day}_{kind}.xml.gz">x</a>')
+        (folder / "data" / "2024" / f"dumps_{day}_CHECKSUM.txt").write_text("\n".join(lines[day]))
+        links.append(f'<a href="?download=data%2F2024%2Fdumps_{day}_CHECKSUM.txt">x</a>')
+    (folder / "data" / "index.html").write_text('<a href="?prefix=data/2023/">a</a> <a href="?prefix=data/2024/">b</a>')
+    (folder / "data" / "2024" / "index.html").write_text(" ".join(links))
+    return str(folder)
+
+
+def test_import_from_a_catalogue(spark, tmp_path):
+    base = catalogue(tmp_path / "web")
+    args = ["--store", str(tmp_path / "store"), "--catalogue", base, "--data-dir", str(tmp_path / "data"), "-e", "artists", "label"]
+    assert not run_import(spark, parse([*args, "-m", "2024-01"]))["skip"]
+    assert sorted(os.listdir(tmp_path / "data")) == ["dumps_20240101_artists.xml.gz", "dumps_20240101_labels.xml.gz"]
+    run_import(spark, parse([*args, "--cleanup"]))  # the latest of each
+    assert sorted(os.listdir(tmp_path / "data")) == ["dumps_20240101_artists.xml.gz", "dumps_20240101_labels.xml.gz"]
+    control = C.Control(str(tmp_path / "store" / "control.json"))
+    assert {(d["entity_type"], d["dump_date"]) for d in control.tables["dumps"]} == {(e, d) for e in ("artist", "label") for d in ("2024-01-01", "2024-02-01")}
+    assert {r["entity_type"]: (r["state"], r["operation"]) for r in control.tables["states"]} == {"artist": ("ready", "refresh"), "label": ("ready", "refresh")}
+    os.rename(tmp_path / "web", tmp_path / "gone")  # the stored catalogue and the files serve without it
+    assert run_import(spark, parse([*args, "-m", "2024-01", "--allow-downgrade", "--force"]))["run"] == 3
+    with pytest.raises(FileNotFoundError):
+        run_import(spark, parse([*args, "-m", "2024-03"]))
+
+
+def test_wrong_checksums_are_refused(spark, tmp_path):
+    base = catalogue(tmp_path / "web", "0" * 64)
+    with pytest.raises(ValueError, match="checksum mismatch"):
+        run_import(spark, parse(["--store", str(tmp_path / "store"), "--catalogue", base, "--data-dir", str(tmp_path / "data"), "-e", "label"]))
+    path, _ = fixtures.write(tmp_path, "label", fixtures.LABELS)
+    with pytest.raises(ValueError, match="checksum mismatch"):
+        run_import(spark, ImportConfig(str(tmp_path / "store"), {"label": (path, "2024-01-01", "0" * 64)}))
+    assert Store(spark, str(tmp_path / "store")).versions() == {}
+
+
+def test_layout_of_a_store(spark, tmp_path):
+    Store(spark, str(tmp_path))
+    (tmp_path / "LAYOUT").write_text("0")
+    with pytest.raises(RuntimeError, match="layout"):
+        Store(spark, str(tmp_path))
+
+
 def test_fence_stops_publishing(spark, tmp_path):
     s = Store(spark, str(tmp_path))
     v = s.stage("t", spark.range(3))
