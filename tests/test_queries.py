@@ -12,10 +12,10 @@ ROOT = Path(__file__).resolve().parent.parent
 SF = os.environ.get("QUERY_TEST_DIR", "/root/testdata/sf0.001")
 
 import __spark_entry__ as entry_module  # noqa: E402
-from cratework.plans import relational_queries, training_queries  # noqa: E402
+from cratework.plans import relational_queries, training_queries, transform_queries  # noqa: E402
 
-CORE = relational_queries.QUERIES | training_queries.QUERIES
-SQL = relational_queries.ORACLE | training_queries.ORACLE
+CORE = relational_queries.QUERIES | transform_queries.QUERIES | training_queries.QUERIES
+SQL = relational_queries.ORACLE | transform_queries.ORACLE | training_queries.ORACLE
 
 
 @pytest.fixture(scope="module")
