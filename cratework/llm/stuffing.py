@@ -322,7 +322,7 @@ def stuffed_pages(documents: DataFrame, doc: str = "doc_id", text: str = "text",
         head = Counts(*sent.value)
         for batch in slices(batches, 1):
             total, most, _ = score(batch.column(1), [head], n_pairs, bound=True)
-            text = pc.if_else(pa.array(most > share * total), batch.column(1), pa.scalar(None, batch.schema.field(1).type))
+            text = batch.column(1).take(pa.array(np.arange(batch.num_rows), mask=most <= share * total))
             yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(total)], names=["doc", "text", "n_words"])
 
     named = documents.select(F.col(doc).alias("doc"), F.col(text).alias("text"))

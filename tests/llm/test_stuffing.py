@@ -155,3 +155,13 @@ def test_long_list_of_many_keywords(spark):
     rows = [(i, article(rng, 3)) for i in range(2200)] + [(10000, ", ".join(keys * 50)), (10001, "\n".join(" ".join(keys) for _ in range(50))), (20000, article(rng, 400))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in stuffing.stuffed_pages(df).collect() if r["is_spam"]} == {10000, 10001}
+
+
+def test_batches_larger_than_a_slice(spark):
+    rng = random.Random(8)
+    rows = [(i, article(rng, 1500)) for i in range(80)] + [(100, spam(rng, 0)), (101, None)]
+    rng.shuffle(rows)
+    assert sum(len(r[1] or "") for r in rows) > 8 << 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = stuffing.stuffed_pages(df).collect()
+    assert len(got) == 82 and [r["doc_id"] for r in got if r["is_spam"]] == [100]
