@@ -112,7 +112,7 @@ def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Page:
     """The words of a batch of texts, flat: the place of each word in ``keys``, its line, and for each line what it counts."""
 
-    def __init__(self, texts: pa.Array) -> None:
+    def __init__(self, texts: pa.Array, places: bool = True) -> None:
         """Numbers, addresses, tags (where a line strings them together) and attributes are no words, but are counted.
 
         Null texts have no lines.
@@ -155,20 +155,25 @@ class Page:
         self.pair_line = self.line[self.first]
         self.pair_doc = self.word_doc[self.first]
         self.a, self.b = self.ids[self.first], self.ids[self.first + 1]
-        # distinct words and pairs of each text, how often it has them, and which of them each word and pair is
+        # distinct words and pairs of each text, how often it has them, and (``places``) which of them each word and pair is
         size = max(len(self.keys), 1)
-        unique = lambda x: np.unique(x, return_inverse=True, return_counts=True)
+
+        def unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+            if places:
+                return np.unique(x, return_inverse=True, return_counts=True)
+            x = np.sort(x)
+            ends = np.flatnonzero(np.append(x[1:] != x[:-1], True)) if len(x) else np.zeros(0, np.int64)
+            return x[ends], None, np.diff(ends, prepend=-1)
+
         w, self.word_at, self.word_count = unique(self.word_doc * size + self.ids)
-        self.of_word = w % size
+        self.of_word, self.word_of_doc = w % size, w // size
         pairs, at = np.unique(self.a * size + self.b, return_inverse=True)
         self.pair_a, self.pair_b = pairs // size, pairs % size
         p, self.pair_at, self.pair_count = unique(self.pair_doc * max(len(pairs), 1) + at)
-        self.of_pair = p % max(len(pairs), 1)
-        self.pair_of_doc = p // max(len(pairs), 1)
-        # where the distinct words of each distinct pair of a text stand among the distinct words of that text
-        self.a_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_a[self.of_pair])
-        self.b_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_b[self.of_pair])
-        self.word_of_doc = w // size
+        self.of_pair, self.pair_of_doc = p % max(len(pairs), 1), p // max(len(pairs), 1)
+        if places:  # where the words of each distinct pair of a text stand among the distinct words of that text
+            self.a_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_a[self.of_pair])
+            self.b_at = np.searchsorted(w, self.pair_of_doc * size + self.pair_b[self.of_pair])
         self.n_pairs = np.bincount(self.pair_doc, minlength=self.docs)
         self.vouched = np.minimum(self.pair_count, np.maximum(self.n_pairs // VOUCHED_PART, 1)[self.pair_of_doc])
 
@@ -205,7 +210,7 @@ def corpus_counts(documents: DataFrame, text: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            page = Page(batch.column(0))
+            page = Page(batch.column(0), places=False)
             sizes = (len(page.keys), len(page.pair_a))
             n = [np.bincount(at, weights, size) for at, weights, size in zip((page.of_word, page.of_pair), (page.word_count, page.vouched), sizes)]
             d = [np.bincount(at, minlength=size) for at, size in zip((page.of_word, page.of_pair), sizes)]
@@ -248,7 +253,7 @@ def _returning(page: Page, back: np.ndarray) -> np.ndarray:
 
 def needed_keys(texts: pa.Array, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, key) of the distinct words and pairs of each text that aren't in the sorted ``head``."""
-    page = Page(texts)
+    page = Page(texts, places=False)
     of = np.concatenate([page.word_of_doc, page.pair_of_doc])
     keys = np.concatenate([page.keys[page.of_word], page.pair_keys()[page.of_pair]])
     rest = np.ones(len(keys), bool) if not len(head) else head[np.minimum(np.searchsorted(head, keys), len(head) - 1)] != keys
