@@ -113,7 +113,7 @@ def pivot_group(rows: DataFrame, key: Sequence[str], group: Group) -> DataFrame:
 def shred(df: DataFrame, key: Sequence[str]) -> dict[str, DataFrame]:
     """All flat tables of nested records by the path of their repeated ancestor; ``""`` holds the record's own leaves.
 
-    Child rows carry the record key and all ordinals of their parents, so every level can be joined to the one
+    Each table is a plan of its own over the column it comes from. Child rows carry the record key and all ordinals of their parents, so every level can be joined to the one
     above it. Empty input gives empty tables of the same schemas.
     """
     groups = repeated_groups(df.schema, key)
@@ -122,7 +122,6 @@ def shred(df: DataFrame, key: Sequence[str]) -> dict[str, DataFrame]:
     for g in groups:
         if not g.steps:
             out[""] = df.select(*key, *[_down(F.col(f"`{inner[0]}`"), inner[1:]).alias(name.replace(".", "_")) for name, inner, _ in g.leaves])
-    if nested:
-        rows = grouped_triples(df, key, nested)
-        out |= {g.path: pivot_group(rows, key, g) for g in nested}
+    for g in nested:  # each from its own column, so that the others aren't read
+        out[g.path] = pivot_group(grouped_triples(df.select(*key, g.steps[0]), key, [g]), key, g)
     return out

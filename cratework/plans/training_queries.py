@@ -30,17 +30,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     text, ref = F.element_at("leaves", F.lit("value")), F.element_at("leaves", F.lit("_id"))
     names = F.create_map(*[F.lit(x) for kv in LISTS.items() for x in kv])
     kept = F.when(F.col("group").isin(*LINKS), ref.isNotNull()).otherwise(~is_blank(text))
-    return (
-        rows.filter(kept)
-        .select("record_id", F.element_at(names, F.col("group")).alias("relation"), F.col("ordinals")[0].alias("ordinal"))
-        .distinct()
-    )
+    # no two rows are alike, as record_id is unique
+    return rows.filter(kept).select("record_id", F.element_at(names, F.col("group")).alias("relation"), F.col("ordinals")[0].alias("ordinal"))
 
 
 def _flat(name: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
         flat = shred.shred(_nested(spark, d), ["record_id"])[name]
-        return flat.select("record_id", F.col("ordinal_1").alias("ordinal"), *[F.col(c).alias(c.strip("_").lower()) for c in flat.columns[2:]]).distinct()
+        return flat.select("record_id", F.col("ordinal_1").alias("ordinal"), *[F.col(c).alias(c.strip("_").lower()) for c in flat.columns[2:]])
 
     return query
 
@@ -86,6 +83,17 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return report.select("ref_table", _day("dump_date").alias("period_date"), "orphan_rows", "missing_keys")
 
 
+def p2_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the last dump whose (label_id, category_notation), both of which may be null, no earlier dump has: by null mask, under each match rule."""
+    rows = table(spark, d, "label_release_item").select("dump_date", "label_id", "category_notation")
+    last = rows.select(F.max("dump_date")).scalar()
+    refs, there = rows.filter(F.col("dump_date") == last), rows.filter(F.col("dump_date") < last)
+    keys = [("label_id", "label_id"), ("category_notation", "category_notation")]
+    parts = [orphans.orphan_references(refs, there, keys, m).select(F.lit(m).alias("match_rule"), *[c for c, _ in keys]) for m in orphans.MATCHES]
+    masks = [F.col(c).isNull().alias(f"{c}_null") for c, _ in keys]
+    return reduce(DataFrame.unionByName, parts).groupBy("match_rule", *masks).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _changes(spark: SparkSession, d: str) -> DataFrame:
     artists = table(spark, d, "artist_snapshot")
     return snapshots.snapshot_changes(artists, "snapshot_date", ["id"], [trim_to_null("name"), trim_to_null("profile")])
@@ -182,6 +190,7 @@ QUERIES = {
     "p1_members": _flat("members.name"),
     "p2_found": p2_found,
     "p2_report": p2_report,
+    "p2_masks": p2_masks,
     "p3_found": p3_found,
     "p3_summary": p3_summary,
     "p5_found": p5_found,
@@ -207,6 +216,13 @@ _P2_REFS = f"""
 _P2 = f"""WITH refs AS ({_P2_REFS}),
   there AS (SELECT DISTINCT 'a' AS t, snapshot_date AS at, id FROM artist_snapshot UNION SELECT DISTINCT 'm', dump_date, id FROM master),
   orphan AS (SELECT * FROM refs r WHERE target_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM there x WHERE x.t = r.t AND x.at = r.dump_date AND x.id = r.target_id))"""
+_P2_MASKS = """WITH l AS (SELECT max(dump_date) AS d FROM label_release_item),
+  r AS (SELECT label_id AS a, category_notation AS b FROM label_release_item, l WHERE dump_date = d), t AS (SELECT DISTINCT label_id AS a, category_notation AS b FROM label_release_item, l WHERE dump_date < d),
+  found AS (SELECT r.a, r.b, count(*) AS n, EXISTS (SELECT 1 FROM t WHERE (r.a IS NULL OR t.a = r.a) AND (r.b IS NULL OR t.b = r.b)) AS ok FROM r GROUP BY r.a, r.b),
+  o AS (SELECT 'simple' AS m, * FROM found WHERE a IS NOT NULL AND b IS NOT NULL AND NOT ok
+    UNION ALL SELECT 'partial', * FROM found WHERE (a IS NOT NULL OR b IS NOT NULL) AND NOT ok
+    UNION ALL SELECT 'full', * FROM found WHERE (a IS NULL) <> (b IS NULL) OR (a IS NOT NULL AND b IS NOT NULL AND NOT ok))
+  SELECT m AS match_rule, a IS NULL AS label_id_null, b IS NULL AS category_notation_null, sum(n)::BIGINT AS n_rows FROM o GROUP BY 1, 2, 3"""
 _P3 = f"""WITH v AS (SELECT DISTINCT snapshot_date AS day, id, coalesce(trim(name, {_CHARS}), '') AS a, coalesce(trim(profile, {_CHARS}), '') AS b FROM artist_snapshot),
   s AS (SELECT day, lead(day) OVER (ORDER BY day) AS nxt FROM (SELECT DISTINCT day FROM v)),
   c AS (SELECT coalesce(n.day, o.nxt) AS day, coalesce(n.id, o.id) AS id,
@@ -233,6 +249,7 @@ ORACLE = {
     "p1_members": _flat_sql("members.name", True),
     "p2_found": _P2 + " SELECT DISTINCT ref_table, strftime(dump_date, '%Y-%m-%d') AS period_date, row_id, target_id FROM orphan",
     "p2_report": _P2 + " SELECT ref_table, strftime(dump_date, '%Y-%m-%d') AS period_date, count(*)::BIGINT AS orphan_rows, count(DISTINCT target_id)::BIGINT AS missing_keys FROM orphan GROUP BY 1, 2",
+    "p2_masks": _P2_MASKS,
     "p3_found": _P3 + " SELECT DISTINCT strftime(day, '%Y-%m-%d') AS snapshot_date, id AS artist_id, kind AS change_kind FROM c WHERE kind IS NOT NULL",
     "p3_summary": _P3 + " SELECT strftime(day, '%Y-%m-%d') AS snapshot_date, kind AS change_kind, count(DISTINCT id)::BIGINT AS n_artists FROM c WHERE kind IS NOT NULL GROUP BY 1, 2",
     "p5_found": " UNION ALL ".join(f"SELECT '{n}' AS table_name, {k} AS key_id FROM {n} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > {HEAVY_SHARE} * (SELECT count(*) FROM {n})" for n, k in SUMMARIES.items()),

@@ -28,8 +28,8 @@ def build_session(master: str = "local[*]", app: str = "cratework", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset (a single-machine test) a
-    temporary folder of the driver is taken.
+    It is the cluster's ``spark.checkpoint.dir``; only where that is unset on a single machine (a test) a temporary
+    folder is taken. On a cluster without it, RuntimeError is raised.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir")
@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cratework-checkpoint-")
     sc.setCheckpointDir(path)
     return path

@@ -37,8 +37,8 @@ def test_trim_to_null(spark):
 
 
 def test_java_hash_vectors(spark):
-    values = ["", "A", "A😀", "6Яд", "7Ад", "Al Thompson", "C. Thompson", None]
-    assert column(spark, values, "string", hashing.java_hash) == [0, 65, 1835364, 86171, 86171, -1130078775, -1130078775, None]
+    values = ["", "A", "A😀", "3Aa tone", "3BB tone", "Aa Quist", "BB Quist", None]
+    assert column(spark, values, "string", hashing.java_hash) == [0, 65, 1835364, -942642753, -942642753, -1498405914, -1498405914, None]
 
 
 @settings(max_examples=5, deadline=None)
@@ -56,7 +56,7 @@ def test_fnv(spark):
             h ^= b
         return h
 
-    values = ["", "a", "Яд", "hello world"]
+    values = ["", "a", "Жук", "hello world"]
     assert column(spark, values, "string", hashing.fnv1_32) == [fnv(v) for v in values]
 
 
@@ -70,9 +70,9 @@ def frame(*fields):
 def test_identity_digest_and_slot_frames(spark):
     d = hashing.RELEASE_DOMAIN
     row = spark.range(1).select(
-        hashing.identity_digest(d, "format", [F.lit(" CD "), F.lit(" "), F.lit("2"), F.lit("Яд")]).alias("d")
+        hashing.identity_digest(d, "format", [F.lit(" CD "), F.lit(" "), F.lit("2"), F.lit("Жук")]).alias("d")
     ).select("d", hashing.compat_slot(d, "format", F.col("d"), 3).alias("s"), hashing.valid_digest(F.col("d")).alias("ok")).first()
-    want = hashlib.sha256(d.digest.encode() + b"\0format\0" + frame("CD", None, "2", "Яд")).digest()
+    want = hashlib.sha256(d.digest.encode() + b"\0format\0" + frame("CD", None, "2", "Жук")).digest()
     slot = hashlib.sha256(d.slot.encode() + b"\0format\0" + want + (3).to_bytes(4, "big")).digest()[:4]
     assert bytes(row["d"]) == want and row["ok"]
     assert row["s"] == int.from_bytes(slot, "big", signed=True)
