@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratework.functions.text import WHITE_SPACE
 from cratework.llm import format_duplicates, leakage, mixing, stuffing
 from cratework.session import table
 
@@ -96,8 +97,15 @@ _P7 = """WITH grams AS (
       FROM (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_item) WHERE len(w) >= 12))
   SELECT DISTINCT doc_id, item_id FROM grams JOIN items USING (g)"""
 
+_CHARS = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
+# Sizes by words, numbers and signs instead of tokens: which sources fall short is the same by any common tokenizer.
+_P8 = f"""WITH d AS (SELECT lower(trim(source, {_CHARS})) AS k, coalesce(len(regexp_extract_all(text, '[\\p{{L}}\\p{{M}}]+|\\p{{N}}+|[^\\s\\p{{L}}\\p{{N}}]')), 0) AS n FROM documents),
+  s AS (SELECT k, sum(n) AS n FROM d GROUP BY k), a AS (SELECT sum(n) AS n FROM d)
+  SELECT t.source FROM mix_target t CROSS JOIN a LEFT JOIN s ON s.k = lower(trim(t.source, {_CHARS})) WHERE t.max_repeats * coalesce(s.n, 0) < t.target_share * a.n"""
+
 ORACLE = {
     "p4_found": _P4 + " SELECT first AS first_record_id, record_id AS copy_record_id FROM g WHERE record_id > first",
     "p4_collapsed": _P4 + " SELECT DISTINCT first AS first_record, copies::BIGINT AS copies FROM g",
     "p7_found": _P7,
+    "p8_found": _P8,
 }
