@@ -69,7 +69,7 @@ def test_rows_of_all_tables(imported):
         assert s.read(t).count() == n, t
     assert values(s, "release_item_format", "name", "description", "quantity", "quantity_text") == [("CD", "[d:Album]", 2, "2"), ("LP", None, None, "99999999999999999999")]
     hashes = [r[0] for r in values(s, "release_item_track", "hash")]
-    assert len(set(hashes)) == 3 and 86171 in hashes
+    assert len(set(hashes)) == 3 and -942642753 in hashes
 
 
 def test_same_dump_again_changes_nothing(spark, imported):
